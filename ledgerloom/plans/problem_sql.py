@@ -35,7 +35,7 @@ c AS (
   FROM f WINDOW w AS (PARTITION BY ccn ORDER BY idx)),
 v AS (SELECT *, sum(s) OVER (PARTITION BY ccn ORDER BY idx) AS ver, lead(s) OVER (PARTITION BY ccn ORDER BY idx) AS ns FROM c)
 SELECT ccn, strftime(min(as_of_date), '%Y-%m-%d') AS valid_from,
-  coalesce(strftime(arg_max(next_as_of, idx), '%Y-%m-%d'), '9999-12-31') AS valid_to
+  coalesce(strftime(arg_max({{'n': next_as_of}}, idx).n, '%Y-%m-%d'), '9999-12-31') AS valid_to
 FROM v GROUP BY ccn, ver"""
 
 _P2_COLUMNS = [
