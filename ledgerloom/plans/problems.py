@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.values import alnum_key, date_text, flexible_date, iso_date, numeric_key, padded_key
 from ledgerloom.operators.as_known import as_known
 from ledgerloom.operators.deliveries import full_delivery_batches, newest_non_blank, snapshot_batches
+from ledgerloom.functions.rules import failed_rules
 from ledgerloom.operators.history import version_history
+from ledgerloom.operators.record_parser import parse_records
 from ledgerloom.operators.references import PARTIAL, orphan_references
 from ledgerloom.operators.snapshot_diff import comparable, content_hash, snapshot_changes
 from ledgerloom.session import bounded_broadcast, table
+from ledgerloom.spec import DATASETS
 
 CCN = "cms_certification_number_ccn"
 
@@ -95,4 +98,24 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.filter("differs").select("source_table", "record_id", date_text("known_as_of_date").alias("known_as_of")).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
+def classified_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """raw_records parsed and judged: line_id, dataset, fields and all reasons (an empty array for valid records)."""
+    layouts = {d: list(DATASETS[d].source) for d in ("health_deficiencies", "penalties")}
+    parsed = parse_records(table(spark, sf_dir, "raw_records"), ["line_id"], "dataset", "record_format", "raw_record", layouts)
+    reasons = F.when(F.col("structure").isNotNull(), F.array("structure"))
+    for name, layout in layouts.items():
+        field = lambda n, layout=layout: F.get(F.col("fields"), F.lit(layout.index(n)))
+        reasons = reasons.when(F.col("dataset") == name, failed_rules(DATASETS[name], field))
+    return parsed.select("line_id", "dataset", "fields", reasons.alias("reasons"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classified_records(spark, sf_dir).select("line_id", F.explode("reasons").alias("reason"))
+
+
+def p5_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records apart from the broken ones, with their fields."""
+    return classified_records(spark, sf_dir).filter(F.size("reasons") == 0).select("line_id", "dataset", "fields")
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_valid": p5_valid}
