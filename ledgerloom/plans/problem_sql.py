@@ -85,4 +85,32 @@ kr AS (SELECT ccn, ing, max(best) OVER (PARTITION BY ccn ORDER BY ing) AS best,
 SELECT DISTINCT ev.source_table, ev.record_id, strftime(kr.best.a, '%Y-%m-%d') AS known_as_of
 FROM ev ASOF JOIN kr ON ev.ccn = kr.ccn AND ev.day >= kr.ing WHERE kr.best.o <> kr.final.o"""
 
-SQL = {"p1_found": P1, "p2_found": P2, "p3_found": P3, "p4_found": P4}
+
+def _p6_side(table: str, column: str, valid: str, extra: str) -> str:
+    return f"""SELECT '{table}' AS t, '{column}' AS c, _batch_id AS b, min(processing_date) AS pd, count(*) AS n,
+      count(*) FILTER (coalesce(trim({column}), '') = '') AS blanks,
+      count(*) FILTER (regexp_full_match(trim({column}), '{valid}')) AS ok, {extra}
+      FROM {table} GROUP BY _batch_id HAVING count(*) >= 30"""
+
+
+_AMOUNT = "CASE WHEN regexp_full_match(trim(fine_amount), '-?[0-9]{1,12}([.][0-9]{1,2})?') THEN CAST(trim(fine_amount) AS DOUBLE) END"
+_NO_AMOUNT = "NULL::DOUBLE AS med, NULL::DOUBLE AS lo, NULL::DOUBLE AS hi"
+_NO_CODES = f"[{', '.join('0' for _ in 'ABCDEFGHIJKL')}]::BIGINT[] AS codes"
+_COUNTS = ", ".join(f"count(*) FILTER (upper(trim(scope_severity_code)) = '{x}')" for x in "ABCDEFGHIJKL")
+_CODES = f"[{_COUNTS}]::BIGINT[] AS codes"
+P6 = f"""WITH s AS (
+  {_p6_side('health_deficiencies', 'scope_severity_code', '[A-La-l]', _NO_AMOUNT + ', ' + _CODES)}
+  UNION ALL {_p6_side('health_deficiencies', 'zip_code', '[0-9]{5}', _NO_AMOUNT + ', ' + _NO_CODES)}
+  UNION ALL {_p6_side('penalties', 'zip_code', '[0-9]{5}', _NO_AMOUNT + ', ' + _NO_CODES)}
+  UNION ALL {_p6_side('penalties', 'fine_amount', '-?[0-9]{1,12}([.][0-9]{1,2})?', f'median({_AMOUNT}) AS med, min({_AMOUNT}) AS lo, max({_AMOUNT}) AS hi, ' + _NO_CODES)}),
+l AS (SELECT *, lag(n) OVER w AS pn, lag(blanks) OVER w AS pb, lag(ok) OVER w AS po, lag(med) OVER w AS pm, lag(hi) OVER w AS ph, lag(codes) OVER w AS pc FROM s WINDOW w AS (PARTITION BY t, c ORDER BY pd, b)),
+f AS (
+  SELECT t, c, b, 'PATTERN' AS f FROM l WHERE n > blanks AND (n - blanks - ok) / (n - blanks) > 0.05
+  UNION ALL SELECT t, c, b, 'NULL_RATE' FROM l WHERE abs(blanks / n - pb / pn) > 0.15
+  UNION ALL SELECT t, c, b, 'DISTRIBUTION' FROM l WHERE c = 'scope_severity_code' AND ok > 0 AND po > 0 AND list_sum([abs(x[1] / ok - x[2] / po) FOR x IN list_zip(codes, pc)]) / 2 > 0.3
+  UNION ALL SELECT t, c, b, 'DISTRIBUTION' FROM l WHERE c = 'fine_amount' AND (med > 3 * pm OR med < pm / 3)
+  UNION ALL SELECT t, c, b, 'DISTINCT' FROM l WHERE c = 'scope_severity_code' AND len([x FOR x IN pc IF x > 0]) > 0 AND 2 * len([x FOR x IN codes IF x > 0]) <= len([x FOR x IN pc IF x > 0])
+  UNION ALL SELECT t, c, b, 'RANGE' FROM l WHERE c = 'fine_amount' AND (lo < 0 OR hi > 10 * ph))
+SELECT t AS source_table, c AS column_name, b AS batch_id, f AS finding FROM f"""
+
+SQL = {"p1_found": P1, "p2_found": P2, "p3_found": P3, "p4_found": P4, "p6_found": P6}

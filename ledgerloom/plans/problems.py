@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.values import alnum_key, date_text, flexible_date, iso_date, numeric_key, padded_key
@@ -10,10 +10,11 @@ from ledgerloom.operators.as_known import as_known
 from ledgerloom.operators.deliveries import full_delivery_batches, newest_non_blank, snapshot_batches
 from ledgerloom.functions.rules import failed_rules
 from ledgerloom.operators.history import version_history
+from ledgerloom.operators.profile import HISTOGRAM, VALIDITY, grouped_median, load_histogram, share
 from ledgerloom.operators.record_parser import parse_records
 from ledgerloom.operators.references import PARTIAL, orphan_references
 from ledgerloom.operators.snapshot_diff import comparable, content_hash, snapshot_changes
-from ledgerloom.session import bounded_broadcast, table
+from ledgerloom.session import bounded_broadcast, cut_lineage, table
 from ledgerloom.spec import DATASETS
 
 CCN = "cms_certification_number_ccn"
@@ -119,3 +120,60 @@ def p5_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_valid": p5_valid}
+
+
+#: What is asked of each column, the pattern of its valid values and the thresholds of the findings.
+PROFILED = {
+    "health_deficiencies": {"scope_severity_code": HISTOGRAM, "zip_code": VALIDITY},
+    "penalties": {"zip_code": VALIDITY, "fine_amount": HISTOGRAM},
+}
+VALID = {"scope_severity_code": "[A-La-l]", "zip_code": "[0-9]{5}", "fine_amount": r"-?[0-9]{1,12}(\.[0-9]{1,2})?", "processing_date": ".*"}
+LEAST_ROWS, PATTERN_SHARE, NULL_STEP, DISTANCE = 30, 0.05, 0.15, 0.3
+
+
+def load_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per (source_table, column_name, batch_id): counts, codes, extrema and median beside the preceding load's."""
+    parts = []
+    for name, needs in PROFILED.items():
+        hist = load_histogram(spark, f"{sf_dir}/{name}.parquet", "_batch_id", {**needs, "processing_date": HISTOGRAM}, VALID)
+        parts.append(hist.select(F.lit(name).alias("source_table"), "column", F.col("load").alias("batch_id"), "value", "n"))
+    hist = cut_lineage(parts[0].unionByName(parts[1]))
+    v = F.trim("value")
+    blank = F.col("value").isNull() | (v == "")
+    valid = ~blank & F.coalesce(*(F.when(F.col("column") == c, v.rlike(rf"^(?:{p})\z")) for c, p in VALID.items()))
+    cents = F.when(valid & (F.col("column") == "fine_amount"), (v.try_cast("decimal(14,2)") * 100).cast("bigint"))
+    by = ["source_table", "column", "batch_id"]
+    code = F.when(valid & (F.col("column") == "scope_severity_code"), F.upper(v))
+    codes = [F.sum(F.when(code == c, F.col("n")).otherwise(0)).alias(f"code_{c}") for c in "ABCDEFGHIJKL"]
+    stats = hist.groupBy(*by).agg(
+        F.sum("n").alias("rows"), F.sum(F.when(blank, F.col("n")).otherwise(0)).alias("blanks"), F.sum(F.when(valid, F.col("n")).otherwise(0)).alias("valids"),
+        F.min(cents).alias("least"), F.max(cents).alias("greatest"), F.min(v).alias("first_value"), *codes,
+    )
+    medians = grouped_median(hist.withColumn("cents", cents).filter("cents IS NOT NULL"), by, "cents", "n")
+    released = stats.filter("column = 'processing_date'").select("source_table", "batch_id", F.col("first_value").alias("released"))
+    w = Window.partitionBy("source_table", "column").orderBy("released", "batch_id")
+    profile = stats.filter("column <> 'processing_date'").join(medians, by, "left").join(released, ["source_table", "batch_id"]).filter(F.col("rows") >= LEAST_ROWS)
+    before = ["rows", "blanks", "valids", "greatest", "median", *(f"code_{c}" for c in "ABCDEFGHIJKL")]
+    return profile.select("*", *(F.lag(c).over(w).alias(f"before_{c}") for c in before)).drop("first_value")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = load_profiles(spark, sf_dir)
+    c = F.col
+    present = c("rows") - c("blanks")
+    letters = [f"code_{x}" for x in "ABCDEFGHIJKL"]
+    distance = sum((F.abs(share(c(x), c("valids")) - share(c(f"before_{x}"), c("before_valids"))) for x in letters), F.lit(0.0)) / 2
+    kinds = lambda prefix: sum(((c(prefix + x) > 0).cast("int") for x in letters), F.lit(0))
+    severity, amount = c("column") == "scope_severity_code", c("column") == "fine_amount"
+    findings = {
+        "PATTERN": share(present - c("valids"), present) > PATTERN_SHARE,
+        "NULL_RATE": F.abs(share(c("blanks"), c("rows")) - share(c("before_blanks"), c("before_rows"))) > NULL_STEP,
+        "DISTRIBUTION": (severity & (distance > DISTANCE)) | (amount & ((c("median") > 3 * c("before_median")) | (3 * c("median") < c("before_median")))),
+        "DISTINCT": severity & (kinds("before_") > 0) & (2 * kinds("") <= kinds("before_")),
+        "RANGE": amount & ((c("least") < 0) | F.coalesce(c("greatest") > 10 * c("before_greatest"), F.lit(False))),
+    }
+    found = F.filter(F.array(*(F.when(cond, F.lit(name)) for name, cond in findings.items())), lambda x: x.isNotNull())
+    return p.select("source_table", F.col("column").alias("column_name"), "batch_id", F.explode(found).alias("finding"))
+
+
+QUERIES["p6_found"] = p6_found
