@@ -54,8 +54,9 @@ def close_versions(batches: Iterator[pa.RecordBatch], payload: list[str], calend
             continue
         t = pa.Table.from_batches([batch])
         if carry is not None:  # the open version takes part as a first row that is known to start a version
-            head = pa.table({"entity": [carry["entity"]], "idx": pa.array([carry["idx"]], pa.int32()), **{p: pa.array([carry["payload"][p]], pa.string()) for p in payload}})
-            t = pa.concat_tables([head, t.select(["entity", "idx", *payload])])
+            t = t.select(["entity", "idx", *payload])
+            head = {"entity": [carry["entity"]], "idx": [carry["idx"]], **{p: [carry["payload"][p]] for p in payload}}
+            t = pa.concat_tables([pa.Table.from_pydict(head, schema=t.schema), t])
         ent, names = _codes(t["entity"])
         idx = t["idx"].to_numpy()
         n = len(idx)
