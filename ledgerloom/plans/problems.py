@@ -9,13 +9,14 @@ from ledgerloom.functions.values import alnum_key, date_text, flexible_date, iso
 from ledgerloom.operators.as_known import as_known
 from ledgerloom.operators.deliveries import full_delivery_batches, newest_non_blank, snapshot_batches
 from ledgerloom.functions.rules import failed_rules
+from ledgerloom.operators.drift import consistent_table, drift_report, ordered_files, path_values
 from ledgerloom.operators.history import version_history
 from ledgerloom.operators.profile import HISTOGRAM, VALIDITY, grouped_median, load_histogram, share
 from ledgerloom.operators.record_parser import parse_records
 from ledgerloom.operators.references import PARTIAL, orphan_references
 from ledgerloom.operators.snapshot_diff import comparable, content_hash, snapshot_changes
 from ledgerloom.session import bounded_broadcast, cut_lineage, table
-from ledgerloom.spec import DATASETS
+from ledgerloom.spec import DATASETS, silver_kinds
 
 CCN = "cms_certification_number_ccn"
 
@@ -177,3 +178,26 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["p6_found"] = p6_found
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    records = table(spark, sf_dir, "landing_records")
+    files = ordered_files(table(spark, sf_dir, "source_file_manifest"), records, "landing_path").persist()
+    return path_values(records, "landing_path", "row_no", "record"), files
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values, files = _landing(spark, sf_dir)
+    report, _ = drift_report(values, files, {d: silver_kinds(s) for d, s in DATASETS.items()})
+    return report.select(F.col("path").alias("landing_path"), "drift_type", "column_name").distinct()
+
+
+def p7_penalties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of one dataset as one consistent, typed table."""
+    values, files = _landing(spark, sf_dir)
+    kinds = {d: silver_kinds(s) for d, s in DATASETS.items()}
+    _, canon = drift_report(values, files, kinds)
+    return consistent_table(values, files, canon, "penalties", kinds["penalties"])
+
+
+QUERIES |= {"p7_found": p7_found, "p7_penalties": p7_penalties}

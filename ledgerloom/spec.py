@@ -61,3 +61,8 @@ QUALITY = RuleSpec(
     ranges={c: (0, 100) for c in _SCORES},
 )
 DATASETS: dict[str, RuleSpec] = {"health_deficiencies": DEFICIENCIES, "penalties": PENALTIES, "mds_quality": QUALITY}
+
+
+def silver_kinds(spec: RuleSpec) -> dict[str, str]:
+    """Silver kind of each source column, '' for text."""
+    return {c: "boolean" if c in spec.flags else spec.types.get(c, "") for c in spec.source}
