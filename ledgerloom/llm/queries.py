@@ -1,3 +1,25 @@
-"""Queries of the text problems."""
+"""Queries of the text problems, over the whole table of documents."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerloom.llm.encoding import encode, token_counts
+from ledgerloom.llm.packing import pack
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(_documents(spark, sf_dir), "doc_id", "text")
+
+
+def p9_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _documents(spark, sf_dir)
+    windows = [(r["window_id"], r["capacity_tokens"]) for r in spark.read.parquet(f"{sf_dir}/context_windows.parquet").collect()]  # a fixed table
+    return pack(token_counts(documents, "doc_id", "text"), "doc_id", "n_tokens", windows, documents.count())
+
+
+QUERIES = {"p8_ids": p8_ids, "p9_bins": p9_bins}
