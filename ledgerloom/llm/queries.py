@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm.encoding import encode, token_counts
 from ledgerloom.llm.packing import pack
+from ledgerloom.llm.personal import occurrences, redacted
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,4 +23,12 @@ def p9_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_counts(documents, "doc_id", "text"), "doc_id", "n_tokens", windows, documents.count())
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_bins": p9_bins}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return occurrences(_documents(spark, sf_dir), "doc_id", "text")
+
+
+def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return redacted(_documents(spark, sf_dir), "doc_id", "text")
+
+
+QUERIES = {"p8_ids": p8_ids, "p9_bins": p9_bins, "p10_found": p10_found, "p10_redacted": p10_redacted}
