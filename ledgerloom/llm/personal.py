@@ -85,15 +85,16 @@ _ID_VALUE = {
     "license": re.compile(r"(?:[A-Z]{1,2}[- ]?\d{2,}(?:[- ]\d{2,})*|\d{7,12}|[A-Z]{1,2}\d{5,14})(?!\w)", re.I),
 }
 
-_UNIT = r"(?:(?:apt|apartment|suite|ste|unit|room|rm|apto|floor|fl|bldg|building|lot|depto)\b\.?[ ]?#?[ ]?(?:\d+[A-Za-z]?|[A-Za-z]\d*)\b|#[ ]?\d+[A-Za-z]?\b)"
+_UNIT = r"(?:(?:apt|apartment|suite|ste|unit|apto|floor|fl|bldg|building|depto)\b\.?[ ]?#?[ ]?(?:\d+[A-Za-z]?|[A-Za-z]\d*)(?![-\w])|#[ ]?\d+[A-Za-z]?(?![-\w]))"
 _STATES = "AL AK AZ AR CA CO CT DE DC FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK OR PA PR RI SC SD TN TX UT VT VA WA WV WI WY".split()
-_TAIL = re.compile(
-    rf"(?:[ ]?,?[ \n]{_UNIT})?(?:[ ]?[,\n][ \n]?[ ]?|[ ])(?:{_WORD}[ ]){{0,2}}{_WORD}\.?,?[ ](?:{'|'.join(_STATES)})\b\.?(?:,?[ ]\d{{5}}(?:-\d{{4}})?(?!\d))?", re.I
-)
+_STATE = "(?:" + "|".join(_STATES) + ")"
+_CITY = rf"(?:[ ]?[,\n][ \n]?[ ]?|[ ])(?:{_WORD}[ ]){{0,2}}{_WORD}\.?"
+#: A city counts only with a state; a state without ZIP only behind a comma and in capitals ("in" and "or" are words).
+_TAIL = re.compile(rf"(?:[ ]?,?[ \n]{_UNIT})?{_CITY}(?:,?[ ](?i:{_STATE})\b\.?,?[ ]\d{{5}}(?:-\d{{4}})?(?!\d)|,[ ](?-i:{_STATE})\b(?![ ]?\w))", re.I)
 _UNIT_ONLY = re.compile(rf"[ ]?,?[ \n]{_UNIT}", re.I)
 _DIRECTION = r"(?:(?:N|S|E|W|NE|NW|SE|SW|North|South|East|West|Northeast|Northwest|Southeast|Southwest)\.?[ ])"
 #: What stands before a street word: house number, perhaps a direction, up to three words of the street's name.
-_BEFORE_STREET = re.compile(rf"(?<![\w.,$#-])(?<!\d[ ])\d{{1,6}}(?:-?[A-Za-z])?(?:[ ]1/2)?[ ]{_DIRECTION}?(?:{_WORD}\.?[ ]|\d{{1,3}}(?:st|nd|rd|th)[ ]){{1,3}}\Z", re.I)
+_BEFORE_STREET = re.compile(rf"(?<![\w.,:/$#-])(?<!\d[ ])\d{{1,6}}(?:-?[A-Za-z])?(?:[ ]1/2)?[ ]{_DIRECTION}?(?:(?:St|Mt|Ft)\.[ ]|{_WORD}[ ]|\d{{1,3}}(?:st|nd|rd|th)[ ]){{1,3}}\Z", re.I)
 _BEFORE_ROUTE = re.compile(rf"(?<![\w.,$#-])\d{{1,6}}(?:-?[A-Za-z])?[ ]{_DIRECTION}?(?:{_WORD}[ ])?\Z", re.I)
 _ROUTES = frozenset(("county road", "route", "rural route", "state road", "highway", "hwy"))
 
