@@ -13,10 +13,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.values import blank_to_null
+from ledgerloom.session import cut_lineage
 
 ADDED, MISSING, RENAMED, TYPE_FAILURE = "ADDED_COLUMN", "MISSING_COLUMN", "RENAMED_OR_UNMAPPED_COLUMN", "TYPE_VALUE_FAILURE"
 #: One field of a csv record followed by its comma; possessive, so that long fields need no backtracking.
 _CSV_FIELD = r'("[^"]*+(?:""[^"]*+)*+"|[^,]*+),'
+_NUMBER_LIKE = r"^[-+]?[0-9.][-+.0-9eE]*\z"
 KINDS = ("date", "int", "double", "decimal(14,2)", "boolean")
 
 
@@ -38,9 +40,7 @@ def reads_as(value: Column, kind: str) -> Column:
         return F.upper(value).isin("Y", "N")
     if kind == "date":
         return value.rlike(r"^\d{4}-\d{2}-\d{2}\z") & value.try_cast("date").isNotNull()
-    if kind == "double":
-        return value.rlike(r"^[-+.0-9eE]+\z") & value.try_cast("double").isNotNull()
-    return value.try_cast(kind).isNotNull()
+    return value.rlike(_NUMBER_LIKE) & value.try_cast(kind).isNotNull()  # the pattern spares casts that would only fail
 
 
 def read_typed(value: Column, kind: str | None) -> Column:
@@ -98,7 +98,7 @@ def _silver_kind(kinds: Mapping[str, Mapping[str, str]], dataset: Column, name:
     return F.element_at(table, F.concat_ws("/", dataset, name))
 
 
-def file_changes(values: DataFrame, files: DataFrame, stats: DataFrame) -> tuple[DataFrame, DataFrame]:
+def file_changes(values: DataFrame, stats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Fields that came and went between consecutive files, and the renamings among them.
 
     Returns (edges, renames): edges = (feed, seq, path, name, role NEW or GONE) and renames = (feed, seq, name, gone).
@@ -106,12 +106,12 @@ def file_changes(values: DataFrame, files: DataFrame, stats: DataFrame) -> tuple
     values of the vanished one in the preceding file; the best matches are taken first, each field at most once.
     """
     w = Window.partitionBy("feed", "name").orderBy("seq")
-    s = stats.select("path", "name").join(files, "path").select("*", F.lag("seq").over(w).alias("before"), F.lead("seq").over(w).alias("after"))
+    s = stats.select("path", "name", "feed", "seq", "next_path", F.lag("seq").over(w).alias("before"), F.lead("seq").over(w).alias("after"))
     new = s.filter((F.col("seq") > 1) & ~F.coalesce(F.col("before") == F.col("seq") - 1, F.lit(False))).select("feed", "seq", "path", F.col("path").alias("source"), "name", F.lit("NEW").alias("role"))
     gone = s.filter(F.col("next_path").isNotNull() & ~F.coalesce(F.col("after") == F.col("seq") + 1, F.lit(False))).select(
         "feed", (F.col("seq") + 1).alias("seq"), F.col("next_path").alias("path"), F.col("path").alias("source"), "name", F.lit("GONE").alias("role")
     )
-    edges = new.unionByName(gone)
+    edges = cut_lineage(new.unionByName(gone))
     both = edges.groupBy("feed", "seq").agg(F.max((F.col("role") == "NEW").cast("int")).alias("a"), F.max((F.col("role") == "GONE").cast("int")).alias("b")).filter("a = 1 AND b = 1").select("feed", "seq")
     asked = edges.join(both, ["feed", "seq"]).select("feed", "seq", F.col("source").alias("path"), "name", "role")
     wanted = asked.groupBy("path").agg(F.collect_set("name").alias("wanted"))  # fields of one file
@@ -128,7 +128,7 @@ def file_changes(values: DataFrame, files: DataFrame, stats: DataFrame) -> tuple
     taken = lambda acc, e: F.exists(acc, lambda t: (t["name"] == e["name"]) | (t["gone"] == e["gone"]))
     picked = F.aggregate("c", empty, lambda acc, e: F.when(taken(acc, e), acc).otherwise(F.concat(acc, F.array(e))))
     renames = ranked.select("feed", "seq", F.explode(picked).alias("p")).select("feed", "seq", F.col("p.name").alias("name"), F.col("p.gone").alias("gone"))
-    return edges, renames
+    return edges, cut_lineage(renames)
 
 
 def canonical_names(renames: DataFrame) -> DataFrame:
@@ -150,15 +150,14 @@ def drift_report(values: DataFrame, files: DataFrame, kinds: Mapping[str, Mappin
     the field it continues. A type failure is reported where most of the non-blank values of a field of both files
     cannot be read as its kind, but not so in the preceding file. First files of a feed have no report.
     """
-    stats = path_statistics(values).persist()
-    edges, renames = file_changes(values, files, stats)
-    renames = renames.persist()
+    stats = cut_lineage(path_statistics(values).join(files, "path"))
+    edges, renames = file_changes(values, stats)
     canon = canonical_names(renames)
     named_new = renames.select("feed", "seq", "name", F.lit(RENAMED).alias("kind"))
     named_gone = renames.select("feed", "seq", F.col("gone").alias("name"), F.lit("CONTINUED").alias("kind"))
     came = edges.filter("role = 'NEW'").join(named_new, ["feed", "seq", "name"], "left").select("path", F.coalesce("kind", F.lit(ADDED)).alias("drift_type"), F.col("name").alias("column_name"))
     went = edges.filter("role = 'GONE'").join(named_gone, ["feed", "seq", "name"], "left").filter("kind IS NULL").select("path", F.lit(MISSING).alias("drift_type"), F.col("name").alias("column_name"))
-    typed = stats.join(files, "path").join(canon, "feed", "left")
+    typed = stats.join(canon, "feed", "left")
     kind = F.coalesce(_silver_kind(kinds, F.col("dataset"), F.col("name")), _silver_kind(kinds, F.col("dataset"), F.col("canon")[F.col("name")]))
     good = F.coalesce(*(F.when(kind == k, F.col(f"k{i}")) for i, k in enumerate(KINDS)))
     fails = F.coalesce(2 * (F.col("present") - good) > F.col("present"), F.lit(False))

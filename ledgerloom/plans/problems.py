@@ -182,7 +182,7 @@ QUERIES["p6_found"] = p6_found
 
 def _landing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     records = table(spark, sf_dir, "landing_records")
-    files = ordered_files(table(spark, sf_dir, "source_file_manifest"), records, "landing_path").persist()
+    files = cut_lineage(ordered_files(table(spark, sf_dir, "source_file_manifest"), records, "landing_path"))
     return path_values(records, "landing_path", "row_no", "record"), files
 
 
