@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.values import blank_to_null
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import bounded_broadcast, cut_lineage
 
 ADDED, MISSING, RENAMED, TYPE_FAILURE = "ADDED_COLUMN", "MISSING_COLUMN", "RENAMED_OR_UNMAPPED_COLUMN", "TYPE_VALUE_FAILURE"
 #: One field of a csv record followed by its comma; possessive, so that long fields need no backtracking.
@@ -61,13 +61,15 @@ def path_values(records: DataFrame, path: str, row_no: str, record: str, small_f
     rows = records.select(F.col(path).alias("path"), F.col(row_no).alias("row_no"), F.col(record).alias("record"))
     is_csv = F.lower("path").endswith(".csv")
     heads = rows.filter(is_csv & (F.col("row_no") == 0)).select("path", F.transform(csv_fields(F.col("record")), field_name).alias("names"))
-    few = heads.limit(small_files + 1).count() <= small_files
-    body = rows.filter(is_csv & (F.col("row_no") > 0)).join(F.broadcast(heads) if few else heads, "path")
     pairs = F.arrays_zip(F.col("names").alias("name"), csv_fields(F.col("record")).alias("value"))
-    csv = body.select("path", "row_no", F.filter(pairs, lambda e: e["name"].isNotNull() & (e["name"] != "")).alias("entries"))
-    parsed = F.map_entries(F.from_json("record", "map<string,string>"))
-    json = rows.filter(~is_csv).select("path", "row_no", F.transform(parsed, lambda e: F.struct(field_name(e["key"]).alias("name"), e["value"].alias("value"))).alias("entries"))
-    return csv.unionByName(json)
+    csv_entries = F.filter(pairs, lambda e: e["name"].isNotNull() & (e["name"] != ""))
+    json_entries = F.transform(F.map_entries(F.from_json("record", "map<string,string>")), lambda e: F.struct(field_name(e["key"]).alias("name"), e["value"].alias("value")))
+    body = rows.filter(~is_csv | (F.col("row_no") > 0))
+    if heads.limit(small_files + 1).count() <= small_files:  # one pass over the records
+        joined = body.join(F.broadcast(heads), "path", "left")
+        return joined.select("path", "row_no", F.when(is_csv, csv_entries).otherwise(json_entries).alias("entries"))
+    csv = body.filter(is_csv).join(heads, "path").select("path", "row_no", csv_entries.alias("entries"))
+    return csv.unionByName(body.filter(~is_csv).select("path", "row_no", json_entries.alias("entries")))
 
 
 def path_statistics(values: DataFrame) -> DataFrame:
@@ -115,7 +117,7 @@ def file_changes(values: DataFrame, stats: DataFrame) -> tuple[DataFrame, DataFr
     both = edges.groupBy("feed", "seq").agg(F.max((F.col("role") == "NEW").cast("int")).alias("a"), F.max((F.col("role") == "GONE").cast("int")).alias("b")).filter("a = 1 AND b = 1").select("feed", "seq")
     asked = edges.join(both, ["feed", "seq"]).select("feed", "seq", F.col("source").alias("path"), "name", "role")
     wanted = asked.groupBy("path").agg(F.collect_set("name").alias("wanted"))  # fields of one file
-    flat = values.join(wanted, "path").select("path", F.explode(F.filter("entries", lambda e: F.array_contains(F.col("wanted"), e["name"]))).alias("e"))
+    flat = values.join(bounded_broadcast(wanted, 50_000), "path").select("path", F.explode(F.filter("entries", lambda e: F.array_contains(F.col("wanted"), e["name"]))).alias("e"))
     counts = flat.select("path", F.col("e.name").alias("name"), blank_to_null("e.value").alias("value")).filter("value IS NOT NULL").groupBy("path", "name", "value").agg(F.count(F.lit(1)).alias("n"))
     told = counts.join(asked, ["path", "name"])
     a = told.filter("role = 'NEW'").select("feed", "seq", F.col("name"), "value", "n")
