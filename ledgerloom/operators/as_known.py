@@ -79,7 +79,7 @@ def as_known(events: DataFrame, reports: DataFrame, event_entity: str, event_day
             )
         ).alias("m"),
     ).select(F.col("entity").alias("_entity"), F.col("m.period").alias("_period"), F.col("m.base").alias("_base"), F.col("m.changes").alias("_changes"))
-    left = events.withColumn("_p", F.least(_period(F.col(event_day)), F.lit(horizon)))
+    left = events.withColumn("_p", F.when(F.col(event_day).isNotNull(), F.least(_period(F.col(event_day)), F.lit(horizon))))
     joined = left.join(filled, (left[event_entity] == filled["_entity"]) & (left["_p"] == filled["_period"]), "left")
     replayed = F.get(F.reverse(F.filter("_changes", lambda c: c["known_from"] <= F.col(event_day))), F.lit(0))["s"]
     known = F.coalesce(replayed, F.col("_base"))

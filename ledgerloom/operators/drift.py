@@ -52,7 +52,10 @@ def read_typed(value: Column, kind: str | None) -> Column:
 
 
 def path_values(records: DataFrame, path: str, row_no: str, record: str, small_files: int = 50_000) -> DataFrame:
-    """(path, row_no, entries): one row per data record, entries = array of (name, value) with normalised names.
+    """(path, row_no, entries): one row per data record, entries = array of (name, value).
+
+    Names of csv fields are normalised; JSON keys stay raw, since normalising each of them on each row would cost more
+    than parsing; users of the entries normalise the few distinct ones.
 
     ``records`` holds one record per row; csv files have their header in row 0, other files hold one JSON object per
     row. Null or unreadable records have no entries; a field without a header is left out; of equal names the first
@@ -63,7 +66,7 @@ def path_values(records: DataFrame, path: str, row_no: str, record: str, small_f
     heads = rows.filter(is_csv & (F.col("row_no") == 0)).select("path", F.transform(csv_fields(F.col("record")), field_name).alias("names"))
     pairs = F.arrays_zip(F.col("names").alias("name"), csv_fields(F.col("record")).alias("value"))
     csv_entries = F.filter(pairs, lambda e: e["name"].isNotNull() & (e["name"] != ""))
-    json_entries = F.transform(F.map_entries(F.from_json("record", "map<string,string>")), lambda e: F.struct(field_name(e["key"]).alias("name"), e["value"].alias("value")))
+    json_entries = F.map_entries(F.from_json("record", "map<string,string>")).cast("array<struct<name:string,value:string>>")
     body = rows.filter(~is_csv | (F.col("row_no") > 0))
     if heads.limit(small_files + 1).count() <= small_files:  # one pass over the records
         joined = body.join(F.broadcast(heads), "path", "left")
@@ -72,12 +75,30 @@ def path_values(records: DataFrame, path: str, row_no: str, record: str, small_f
     return csv.unionByName(body.filter(~is_csv).select("path", "row_no", json_entries.alias("entries")))
 
 
+def raw_type(value: Column) -> Column:
+    """Raw type of a trimmed, non-blank text: flag, date, int, decimal, double or text, each the narrowest it reads as."""
+    first = F.ascii(value)
+    number = (
+        F.when(value.rlike(r"^\d{4}-\d{2}-\d{2}\z"), F.when(value.try_cast("date").isNotNull(), "date").otherwise("text"))
+        .when(~value.rlike(_NUMBER_LIKE), "text").when(value.try_cast("int").isNotNull(), "int")
+        .when(value.try_cast("decimal(14,2)").isNotNull(), "decimal").when(value.try_cast("double").isNotNull(), "double").otherwise("text")
+    )
+    return F.when((first >= 43) & (first <= 57), number).when(F.upper(value).isin("Y", "N"), "flag").otherwise("text")
+
+
+#: Raw types that can be read as each kind.
+_READS = {"date": ("date",), "int": ("int",), "double": ("int", "decimal", "double"), "decimal(14,2)": ("int", "decimal"), "boolean": ("flag",)}
+
+
 def path_statistics(values: DataFrame) -> DataFrame:
-    """(path, name, rows, present, reads): per file and field the rows, non-blank values and how many read as each kind."""
-    v = blank_to_null("value")
-    flat = values.select("path", F.explode("entries").alias("e")).select("path", F.col("e.name").alias("name"), F.col("e.value").alias("value"))
-    ok = [F.count_if(reads_as(v, k)).alias(f"k{i}") for i, k in enumerate(KINDS)]
-    return flat.groupBy("path", "name").agg(F.count(F.lit(1)).alias("rows"), F.count(v).alias("present"), *ok)
+    """(path, name, rows, present, k0...): per file and field the rows, non-blank values and how many read as each kind."""
+    flat = values.select("path", F.explode("entries").alias("e")).select("path", F.col("e.name").alias("name"), blank_to_null("e.value").alias("value"))
+    typed = flat.select("path", "name", F.when(F.col("value").isNotNull(), raw_type(F.col("value"))).alias("raw"))
+    ok = [F.count_if(F.col("raw").isin(*_READS[k])).alias(f"k{i}") for i, k in enumerate(KINDS)]
+    raw = typed.groupBy("path", "name").agg(F.count(F.lit(1)).alias("rows"), F.count("raw").alias("present"), *ok)
+    sums = ["rows", "present", *(f"k{i}" for i in range(len(KINDS)))]
+    named = raw.withColumn("name", field_name(F.col("name"))).filter("name <> ''")
+    return named.groupBy("path", "name").agg(*(F.sum(c).alias(c) for c in sums))
 
 
 def ordered_files(manifest: DataFrame, values_or_records: DataFrame, path: str) -> DataFrame:
@@ -117,8 +138,8 @@ def file_changes(values: DataFrame, stats: DataFrame) -> tuple[DataFrame, DataFr
     both = edges.groupBy("feed", "seq").agg(F.max((F.col("role") == "NEW").cast("int")).alias("a"), F.max((F.col("role") == "GONE").cast("int")).alias("b")).filter("a = 1 AND b = 1").select("feed", "seq")
     asked = edges.join(both, ["feed", "seq"]).select("feed", "seq", F.col("source").alias("path"), "name", "role")
     wanted = asked.groupBy("path").agg(F.collect_set("name").alias("wanted"))  # fields of one file
-    flat = values.join(bounded_broadcast(wanted, 50_000), "path").select("path", F.explode(F.filter("entries", lambda e: F.array_contains(F.col("wanted"), e["name"]))).alias("e"))
-    counts = flat.select("path", F.col("e.name").alias("name"), blank_to_null("e.value").alias("value")).filter("value IS NOT NULL").groupBy("path", "name", "value").agg(F.count(F.lit(1)).alias("n"))
+    flat = values.join(bounded_broadcast(wanted, 50_000), "path").select("path", F.explode(F.filter("entries", lambda e: F.array_contains(F.col("wanted"), field_name(e["name"])))).alias("e"))
+    counts = flat.select("path", field_name(F.col("e.name")).alias("name"), blank_to_null("e.value").alias("value")).filter("value IS NOT NULL").groupBy("path", "name", "value").agg(F.count(F.lit(1)).alias("n"))
     told = counts.join(asked, ["path", "name"])
     a = told.filter("role = 'NEW'").select("feed", "seq", F.col("name"), "value", "n")
     b = told.filter("role = 'GONE'").select("feed", "seq", F.col("name").alias("gone"), "value", F.col("n").alias("m"))
@@ -178,7 +199,7 @@ def consistent_table(values: DataFrame, files: DataFrame, canon: DataFrame, data
     rows = values.join(files.filter(F.col("dataset") == dataset).select("path", "feed"), "path").join(canon, "feed", "left")
     known = F.array(*(F.lit(k) for k in kinds))
     plain = lambda n: F.when(F.array_contains(known, n), n).otherwise(F.coalesce(F.col("canon")[n], n))
-    entries = F.transform("entries", lambda e: F.struct(plain(e["name"]).alias("name"), e["value"].alias("value")))
+    entries = F.transform("entries", lambda e: F.struct(plain(field_name(e["name"])).alias("name"), e["value"].alias("value")))
     named = rows.select("path", "row_no", entries.alias("entries"))
     value = {n: blank_to_null(F.get(_named("entries", n), F.lit(0))["value"]) for n in kinds}
     failed = F.array_compact(F.array(*(F.when(value[n].isNotNull() & ~reads_as(value[n], k), F.lit(n)) for n, k in kinds.items() if k)))

@@ -83,9 +83,9 @@ def _text(value) -> str | None:
 
 def csv_block(records: list[str], width: int) -> list[pa.Array] | None:
     """Columns of a block of records that obey the grammar, or None if any has another number of fields."""
-    data = "\n".join(records).encode()
-    if not data:
+    if "" in records:  # an empty line has one field, but the reader takes it for a row of nothing
         return None
+    data = "\n".join(records).encode()
     names = [f"f{k}" for k in range(width)]
     try:
         t = pacsv.read_csv(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +50,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     The caller keeps the rows narrow (a few scalar columns).
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """A fresh folder for written intermediates, beside the checkpoints in the shared folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
