@@ -6,12 +6,15 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.values import blank_to_null
 
 
+_BETWEEN = "\u001f"  # in no rule name
+
+
 @dataclass(frozen=True)
 class Subtype:
     """A record of type ``value`` in ``column`` must have ``required`` and must not have ``forbidden`` fields."""
@@ -54,14 +57,7 @@ def typed(spec: RuleSpec, name: str, value: Column, strict_dates: bool = True) -
     return value.try_cast(kind)
 
 
-def failed_rules(spec: RuleSpec, raw: Callable[[str], Column], strict_dates: bool = True) -> Column:
-    """array<string> of the names of failed rules; an undecidable (null) condition does not fail.
-
-    ``raw`` maps a source column to its text Column. Names: REQUIRED, SAFE_CAST, REGEX, DOMAIN, DOMAIN_YN, RANGE,
-    NON_NEGATIVE with the source column, and CONDITIONAL with the rule's own name.
-    """
-    text = {n: clean(spec, n, raw(n)) for n in spec.source}
-    value = {n: typed(spec, n, text[n], strict_dates) for n in spec.source}
+def _failed(spec: RuleSpec, text: Mapping[str, Column], value: Mapping[str, Column]) -> Column:
     checks: list[tuple[str, Column]] = [(f"REQUIRED:{n}", value[n].isNull()) for n in spec.required]
     checks += [(f"SAFE_CAST:{n}", text[n].isNotNull() & value[n].isNull()) for n in spec.types]
     checks += [(f"DOMAIN_YN:{n}", text[n].isNotNull() & value[n].isNull()) for n in spec.flags]
@@ -72,4 +68,23 @@ def failed_rules(spec: RuleSpec, raw: Callable[[str], Column], strict_dates: boo
     for s in spec.conditional:
         broken = [value[n].isNull() for n in s.required] + [value[n].isNotNull() for n in s.forbidden]
         checks.append((f"CONDITIONAL:{s.rule}", (value[s.column] == s.value) & reduce(lambda a, b: a | b, broken)))
-    return F.filter(F.array(*(F.when(c, F.lit(n)) for n, c in checks)), lambda x: x.isNotNull())
+    # concat_ws leaves nulls out and stays inside generated code; filtering an array would interpret every rule
+    return F.concat_ws(_BETWEEN, *(F.when(c, F.lit(n)) for n, c in checks))
+
+
+def judge(df: DataFrame, spec: RuleSpec, raw: Callable[[str], Column] = F.col, prefix: str = "", strict_dates: bool = True) -> DataFrame:
+    """``df`` with the cleaned texts ``<prefix>c_<column>``, the typed values ``<prefix>v_<column>`` and
+    ``<prefix>failed``: array<string> of the names of failed rules; an undecidable (null) condition does not fail.
+
+    ``raw`` maps a source column to its text. Rule names: REQUIRED, SAFE_CAST, REGEX, DOMAIN, DOMAIN_YN, RANGE and
+    NON_NEGATIVE with the source column, CONDITIONAL with the rule's own name. Cleaning, typing and judging are three
+    projections, each referring to columns of the one before, so no cast or pattern is evaluated twice. The partition
+    id makes the last one opaque to filter pushdown, which would otherwise inline and repeat all of it in the filter.
+    """
+    c, v = (lambda n: f"{prefix}c_{n}"), (lambda n: f"{prefix}v_{n}")
+    cleaned = df.withColumns({c(n): clean(spec, n, raw(n)) for n in spec.source})
+    valued = cleaned.withColumns({v(n): typed(spec, n, F.col(c(n)), strict_dates) for n in spec.source})
+    names = _failed(spec, {n: F.col(c(n)) for n in spec.source}, {n: F.col(v(n)) for n in spec.source})
+    joined = valued.withColumn("_joined", F.when(F.spark_partition_id() >= 0, names))
+    failed = F.when(F.col("_joined") == "", F.array().cast("array<string>")).otherwise(F.split("_joined", _BETWEEN))
+    return joined.withColumn(f"{prefix}failed", failed).drop("_joined")

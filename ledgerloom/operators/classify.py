@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import entity_key, json_digest, salted_digest, severity_group
-from ledgerloom.functions.rules import clean, failed_rules, typed
-from ledgerloom.functions.values import blank_to_null
+from ledgerloom.functions.rules import judge
 from ledgerloom.spec import BRONZE_METADATA, DatasetSpec
 
 INVALID, CONFLICT, DUPLICATE, ACCEPTED = "INVALID", "CONFLICT", "DUPLICATE", "ACCEPTED"
@@ -62,18 +61,16 @@ def transform(bronze: DataFrame, spec: DatasetSpec, salt: str, strict_dates: boo
     missing = [c for c in (*rules.source, *BRONZE_METADATA) if c not in bronze.columns]
     if missing:
         raise ValueError(f"Bronze lacks {', '.join(missing)}")
-    value = {c: typed(rules, c, clean(rules, c, F.col(c)), strict_dates) for c in rules.source}
+    judged = judge(bronze.select(*rules.source, *BRONZE_METADATA), rules, prefix="s_", strict_dates=strict_dates)
     business = [c for c in silver_columns(spec) if c != spec.entity_key]
-    fields = [value[c].alias(f"s_{c}") for c in rules.source]
-    base = bronze.select(
-        *fields,
-        salted_digest(blank_to_null("provider_address"), salt).alias("s_provider_address_hash"),
-        *([severity_group(value["scope_severity_code"]).alias("s_severity_group")] if "severity_group" in business else []),
+    derived = {"provider_address_hash": salted_digest(F.col("s_c_provider_address"), salt), "severity_group": severity_group(F.col("s_v_scope_severity_code")) if "severity_group" in business else None}
+    named = judged.select(
+        *(derived[c].alias(c) if c in derived else F.col(f"s_v_{c}").alias(c) for c in business),
+        F.col("s_v_processing_date").alias("source_processing_date"),
         F.to_json(F.struct(*rules.source), {"ignoreNullFields": "false"}).alias("raw_record"),
-        failed_rules(rules, F.col, strict_dates).alias("failed"),
+        F.col("s_failed").alias("failed"),
         *BRONZE_METADATA,
     )
-    named = base.select(*(F.col(f"s_{c}").alias(c) for c in business), F.col("s_processing_date").alias("source_processing_date"), "raw_record", "failed", *BRONZE_METADATA)
     keyed = named.withColumn(spec.entity_key, entity_key(list(spec.key), spec.nullable_key)).withColumn("row_hash", json_digest(business))
     order = [F.col("source_processing_date").desc_nulls_last(), F.col("_source_file"), F.col("raw_record"), F.col("_batch_id")]
     classified = classify(keyed, spec.entity_key, "row_hash", "failed", order)

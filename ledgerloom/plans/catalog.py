@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.keys import entity_key, json_digest, salted_digest, severity_group
-from ledgerloom.functions.rules import RuleSpec, Subtype, clean, failed_rules, typed
+from ledgerloom.functions.rules import RuleSpec, Subtype, judge, typed
 from ledgerloom.functions.values import blank_to_null, flexible_date
 from ledgerloom.operators import control, evidence, merge
 from ledgerloom.operators.classify import classify, transform
@@ -70,9 +70,8 @@ def _text_orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _typed_orders(spark: SparkSession, d: str) -> DataFrame:
-    raw = _text_orders(spark, d)
-    cells = [typed(_RULES, c, clean(_RULES, c, F.col(c))).alias(c) for c in _RULES.source]
-    return raw.select("o_orderkey", *cells, failed_rules(_RULES, F.col).alias("failed"))
+    judged = judge(_text_orders(spark, d), _RULES)
+    return judged.select("o_orderkey", *(F.col(f"v_{c}").alias(c) for c in _RULES.source), "failed")
 
 
 _TYPED = f"""{_ORDERS}, t AS (SELECT o_orderkey, k, NULLIF(trim(status), '') AS status, TRY_CAST(price AS DECIMAL(14, 2)) AS price, price AS praw, TRY_CAST(day AS DATE) AS day, day AS draw,
@@ -157,7 +156,7 @@ def conditional_subtype(spark, d):
     li = table(spark, d, "lineitem")
     raw = li.select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("kind"), F.when((F.col("l_returnflag") == "R") | (F.col("l_suppkey") % 7 == 0), "x").alias("fine"), F.when((F.col("l_returnflag") != "R") & (F.col("l_partkey") % 5 > 0), "y").alias("denial"))
     spec = RuleSpec(source=("kind", "fine", "denial"), conditional=(Subtype("fine", "kind", "R", ("fine",), ("denial",)), Subtype("denial", "kind", "A", ("denial",), ("fine",))))
-    return raw.select("l_orderkey", "l_linenumber", F.array_join(failed_rules(spec, F.col), "|").alias("failed"))
+    return judge(raw, spec).select("l_orderkey", "l_linenumber", F.array_join("failed", "|").alias("failed"))
 
 
 # ---- keys, conflicts, duplicates --------------------------------------------------------------------------------------
@@ -209,20 +208,19 @@ def exact_duplicates(spark, d):
 
 
 def _rejected(spark: SparkSession, d: str) -> DataFrame:
-    raw = _text_orders(spark, d)
-    return raw.select(F.lit("orders").alias("dataset"), F.col("k").alias("candidate_entity_key"), F.concat_ws("|", F.coalesce("status", F.lit("~")), "price", "day").alias("raw_record"), F.array_sort(failed_rules(_RULES, F.col)).alias("failed_rules")).filter(F.size("failed_rules") > 0)
+    bad = judge(_text_orders(spark, d), _RULES).filter(F.size("failed") > 0)
+    return bad.select(F.lit("orders").alias("dataset"), F.col("k").alias("candidate_entity_key"), "c_status", F.concat_ws("|", F.coalesce("status", F.lit("~")), "price", "day").alias("raw_record"), F.array_sort("failed").alias("failed_rules"))
 
 
 @query(f"WITH {_TYPED} SELECT DISTINCT 'orders' AS dataset, r.k AS candidate_entity_key, concat_ws('|', coalesce(o.status, '~'), o.price, o.day) AS raw_record, array_to_string(list_sort(failed), '|') AS failed_rules FROM r JOIN o USING (o_orderkey) WHERE len(failed) > 0")
 def quarantine_projection(spark, d):
-    return _rejected(spark, d).distinct().withColumn("failed_rules", F.array_join("failed_rules", "|"))
+    return _rejected(spark, d).drop("c_status").distinct().withColumn("failed_rules", F.array_join("failed_rules", "|"))
 
 
 @query(f"""WITH {_TYPED}, q AS (SELECT DISTINCT r.k, NULLIF(trim(o.status), '') AS s, array_to_string(list_sort(failed), '|') AS f FROM r JOIN o USING (o_orderkey) WHERE len(failed) > 0)
 SELECT k AS candidate_entity_key, s AS status, f AS failed_rules FROM q a WHERE NOT EXISTS (SELECT 1 FROM q b WHERE CAST(b.k AS BIGINT) % 2 = 0 AND b.k IS NOT DISTINCT FROM a.k AND b.s IS NOT DISTINCT FROM a.s AND b.f IS NOT DISTINCT FROM a.f)""")
 def idempotent_quarantine(spark, d):
-    raw = _text_orders(spark, d)
-    q = raw.select(F.col("k").alias("candidate_entity_key"), blank_to_null("status").alias("status"), F.array_sort(failed_rules(_RULES, F.col)).alias("failed_rules")).filter(F.size("failed_rules") > 0)
+    q = _rejected(spark, d).select("candidate_entity_key", F.col("c_status").alias("status"), "failed_rules")
     fresh = merge.append_once(q.filter(F.col("candidate_entity_key").cast("bigint") % 2 == 0), q.unionByName(q), ["candidate_entity_key", "status", "failed_rules"])
     return fresh.withColumn("failed_rules", F.array_join("failed_rules", "|"))
 

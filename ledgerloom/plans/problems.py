@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.values import alnum_key, date_text, flexible_date, iso_date, numeric_key, padded_key
 from ledgerloom.operators.as_known import as_known
 from ledgerloom.operators.deliveries import full_delivery_batches, newest_non_blank, snapshot_batches
-from ledgerloom.functions.rules import failed_rules
+from ledgerloom.functions.rules import judge
 from ledgerloom.operators.drift import consistent_table, drift_report, ordered_files, path_values
 from ledgerloom.operators.history import version_history
 from ledgerloom.operators.profile import HISTOGRAM, VALIDITY, grouped_median, load_histogram, share
@@ -104,11 +104,12 @@ def classified_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """raw_records parsed and judged: line_id, dataset, fields and all reasons (an empty array for valid records)."""
     layouts = {d: list(DATASETS[d].source) for d in ("health_deficiencies", "penalties")}
     parsed = parse_records(table(spark, sf_dir, "raw_records"), ["line_id"], "dataset", "record_format", "raw_record", layouts)
-    reasons = F.when(F.col("structure").isNotNull(), F.array("structure"))
-    for name, layout in layouts.items():
-        field = lambda n, layout=layout: F.get(F.col("fields"), F.lit(layout.index(n)))
-        reasons = reasons.when(F.col("dataset") == name, failed_rules(DATASETS[name], field))
-    return parsed.select("line_id", "dataset", "fields", reasons.alias("reasons"))
+    judged, reasons = parsed, F.when(F.col("structure").isNotNull(), F.array("structure"))
+    for k, (name, layout) in enumerate(layouts.items()):
+        field = lambda n, name=name, layout=layout: F.when(F.col("dataset") == name, F.get(F.col("fields"), F.lit(layout.index(n))))
+        judged = judge(judged, DATASETS[name], field, prefix=f"d{k}_")
+        reasons = reasons.when(F.col("dataset") == name, F.col(f"d{k}_failed"))
+    return judged.select("line_id", "dataset", "fields", reasons.alias("reasons"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

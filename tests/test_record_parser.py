@@ -5,7 +5,7 @@ import random
 
 import pyarrow as pa
 
-from ledgerloom.functions.rules import failed_rules
+from ledgerloom.functions.rules import judge
 from ledgerloom.operators.record_parser import COLUMN_COUNT, JSON, QUOTING, parse_group, parse_records, strict_csv, strict_json
 from ledgerloom.spec import DEFICIENCIES, PENALTIES
 from pyspark.sql import functions as F
@@ -74,7 +74,7 @@ def test_records_keep_order_and_extra_columns(spark):
 def reasons(spark, spec, **values):
     row = [values.get(c) for c in spec.source]
     df = spark.createDataFrame([row], ", ".join(f"{c} string" for c in spec.source))
-    return set(df.select(failed_rules(spec, F.col).alias("r")).first()["r"])
+    return set(judge(df, spec).first()["failed"])
 
 
 FINE = dict(cms_certification_number_ccn="01a234", penalty_date="2024-01-05", penalty_type="Fine", fine_id="F1", fine_amount="10.50", state="tx", zip_code="12345", processing_date="2024-02-01")
