@@ -61,7 +61,7 @@ def as_known(events: DataFrame, reports: DataFrame, event_entity: str, event_day
     ``events`` pass through; the added names are ``known_value``, ``known_<shown>`` and ``differs``.
     """
     log = knowledge_log(reports, entity, known_from, rank, value)
-    bounds = log.agg(F.max("known_from").alias("d")).select(_period(F.col("d")).alias("p")).collect()  # one scalar
+    bounds = reports.agg(F.max(known_from).alias("d")).select(_period(F.col("d")).alias("p")).collect()  # one scalar
     horizon = (bounds[0]["p"] if bounds and bounds[0]["p"] is not None else 0) + 1
     dense = periodic_snapshots(log, shown)
     ends = F.element_at("changes", -1)["s"]

@@ -13,6 +13,8 @@ from itertools import product
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut_lineage
+
 SIMPLE, PARTIAL, FULL = "simple", "partial", "full"
 
 
@@ -28,7 +30,7 @@ def orphan_keys(references: DataFrame, parents: DataFrame, columns: list[str], m
     if match not in (SIMPLE, PARTIAL, FULL):
         raise ValueError(f"unknown match semantics: {match}")
     nullable = columns if nullable is None else nullable
-    keys = references.select(*columns).distinct()
+    keys = cut_lineage(references.select(*columns).distinct())  # else each mask would read the references again
     found = []
     for nulls in product([False, True], repeat=len(nullable)):
         mask = dict(zip(nullable, nulls))

@@ -22,7 +22,8 @@ CCN = "cms_certification_number_ccn"
 
 
 def _provider_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bounded_broadcast(snapshot_batches(table(spark, sf_dir, "source_file_manifest"), "provider_info"))
+    """Batches of the full snapshots: written once, as every query asks them for the calendar and the rows."""
+    return bounded_broadcast(cut_lineage(snapshot_batches(table(spark, sf_dir, "source_file_manifest"), "provider_info")))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +75,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("ccn", "idx")
         .distinct()
     )
+    parents = cut_lineage(parents)  # one narrow row per facility and snapshot, used by each null mask
     calendar = [(r["idx"], r["as_of_date"]) for r in batches.select("idx", "as_of_date").distinct().orderBy("idx").collect()]  # one date per snapshot
     rows = _events(spark, sf_dir, {"health_deficiencies": "processing_date", "penalties": "processing_date"}).withColumn("day", iso_date("day"))
     # The newest snapshot on or before the day; -1 where there is none, which no parent has. A row without a readable
