@@ -22,6 +22,7 @@ QUOTING, COLUMN_COUNT, JSON = "QUOTING", "COLUMN_COUNT", "JSON"
 #: A record of comma-separated fields; quotes only around whole fields, doubled inside; line breaks only inside quotes.
 _FIELD = r'(?:[^",\r\n]*|"(?:[^"]|"")*")'
 CSV_GRAMMAR = rf"\A{_FIELD}(?:,{_FIELD})*\z"
+_QUOTED = r'"(?:[^"]|"")*"'
 _SEPARATOR = "\u0002record\u0003"
 
 
@@ -84,7 +85,7 @@ def _text(value) -> str | None:
 def csv_block(records: list[str], width: int) -> list[pa.Array] | None:
     """Columns of a block of records that obey the grammar, or None if any has another number of fields."""
     if "" in records:  # an empty line has one field, but the reader takes it for a row of nothing
-        return None
+        return [pa.array([""] * len(records))] if width == 1 and not any(records) else None
     data = "\n".join(records).encode()
     names = [f"f{k}" for k in range(width)]
     try:
@@ -99,8 +100,8 @@ def csv_block(records: list[str], width: int) -> list[pa.Array] | None:
     return [c.combine_chunks() for c in t.columns] if t.num_rows == len(records) else None
 
 
-def json_block(records: list[str], layout: list[str]) -> list[pa.Array] | None:
-    """Columns of a block of JSON objects, or None if any record is not exactly one object.
+def json_block(records: list[str]) -> list[dict] | None:
+    """The objects of a block, or None if any record is not exactly one object.
 
     The records are parsed as one array with a separator between them. The separator occurs only between records, so
     finding it at every second place of the array proves that each record is one value of its own.
@@ -114,7 +115,7 @@ def json_block(records: list[str], layout: list[str]) -> list[pa.Array] | None:
     objects = values[::2]
     if len(values) != 2 * len(records) - 1 or any(v != _SEPARATOR for v in values[1::2]) or any(type(o) is not dict for o in objects):
         return None
-    return [pa.array([_text(o.get(name)) for o in objects], pa.string()) for name in layout]
+    return objects
 
 
 _SEPARATOR_JSON = json.dumps(_SEPARATOR)[1:-1]
@@ -127,49 +128,85 @@ def _rows(columns: list[pa.Array], n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, n * k + 1, k), pa.int32()), pa.concat_arrays(columns).take(pa.array(order)))
 
 
+def _bisect(lo: int, hi: int, passes: Callable[[int, int], bool], alone: Callable[[int], None]) -> Iterator[tuple[int, int]]:
+    """Blocks of [lo, hi) that pass, in order; what cannot be split further is handed to ``alone``."""
+    if passes(lo, hi):
+        yield lo, hi
+    elif hi - lo == 1:
+        alone(lo)
+    else:
+        mid = (lo + hi) // 2
+        yield from _bisect(lo, mid, passes, alone)
+        yield from _bisect(mid, hi, passes, alone)
+
+
 def parse_group(records: pa.Array, fmt: str, layout: list[str], block: int) -> tuple[list[str | None], pa.ListArray]:
-    """Structure error (or None) and fields of each record of one format and layout; fields of bad records are null."""
+    """Structure error (or None) and fields of each record of one format and layout; fields of bad records are null.
+
+    csv: the grammar and the number of separators outside quotes are tested column-wise, running sums tell at once
+    whether a block passes, and all blocks that passed are parsed together. JSON: the block's parse is its test.
+    """
     n, width = len(records), len(layout)
-    texts = records.fill_null("").to_pylist()
+    filled = records.fill_null("")
+    texts = filled.to_pylist()
     errors: list[str | None] = [None] * n
     kind = pa.list_(pa.string())
+    places: list[np.ndarray] = []
     pieces: list[pa.Array] = []
-    if fmt == "csv":
-        fits = pc.match_substring_regex(records.fill_null(""), CSV_GRAMMAR).to_numpy(zero_copy_only=False)
-    elif fmt == "json":
-        fits = np.ones(n, bool)
-    else:
-        raise ValueError(f"unknown record format: {fmt}")
 
-    def single(i: int) -> pa.Array:
+    def keep(at: np.ndarray, fields: pa.Array) -> None:
+        places.append(at)
+        pieces.append(fields)
+
+    def alone(i: int) -> None:
         if fmt == "csv":
             fields = strict_csv(texts[i])
-            if fields is None or len(fields) != width:
-                errors[i] = QUOTING if fields is None else COLUMN_COUNT
-                return pa.array([None], kind)
-            return pa.array([fields], kind)
-        value = strict_json(texts[i])
-        if value is None:
+            if fields is not None and len(fields) == width:
+                keep(np.array([i]), pa.array([fields], kind))
+                return
+            errors[i] = QUOTING if fields is None else COLUMN_COUNT
+        else:
+            value = strict_json(texts[i])
+            if value is not None:
+                keep(np.array([i]), pa.array([[_text(value.get(name)) for name in layout]], kind))
+                return
             errors[i] = JSON
-            return pa.array([None], kind)
-        return pa.array([[_text(value.get(name)) for name in layout]], kind)
+        keep(np.array([i]), pa.array([None], kind))
 
-    def solve(lo: int, hi: int) -> None:
-        if fits[lo:hi].all():
-            columns = csv_block(texts[lo:hi], width) if fmt == "csv" else json_block(texts[lo:hi], layout)
+    if fmt == "csv":
+        bare = pc.replace_substring_regex(filled, _QUOTED, "")
+        fits = pc.and_(pc.match_substring_regex(filled, CSV_GRAMMAR), pc.equal(pc.count_substring(bare, ","), width - 1))
+        broken = np.concatenate([[0], np.cumsum(~fits.to_numpy(zero_copy_only=False))])
+        passed = [p for lo in range(0, n, block) for p in _bisect(lo, min(n, lo + block), lambda a, b: broken[a] == broken[b], alone)]
+        if passed:
+            at = np.concatenate([np.arange(a, b) for a, b in passed])
+            columns = csv_block([texts[i] for i in at], width)
             if columns is not None:
-                pieces.append(_rows(columns, hi - lo))
-                return
-        if hi - lo == 1:
-            pieces.append(single(lo))
-            return
-        mid = (lo + hi) // 2
-        solve(lo, mid)
-        solve(mid, hi)
-
-    for lo in range(0, n, block):
-        solve(lo, min(n, lo + block))
-    return errors, pa.concat_arrays(pieces) if pieces else pa.array([], kind)
+                keep(at, _rows(columns, len(at)))
+            else:  # the reader is stricter than the tests somewhere: the records stand alone
+                for i in at:
+                    alone(int(i))
+    elif fmt == "json":
+        parsed: dict[tuple[int, int], list[dict]] = {}
+
+        def passes(a: int, b: int) -> bool:
+            objects = json_block(texts[a:b])
+            if objects is not None:
+                parsed[a, b] = objects
+            return objects is not None
+
+        passed = [p for lo in range(0, n, block) for p in _bisect(lo, min(n, lo + block), passes, alone)]
+        if passed:
+            objects = [o for p in passed for o in parsed[p]]
+            columns = [pa.array([v if (v := o.get(name)) is None or type(v) is str else _text(v) for o in objects], pa.string()) for name in layout]
+            keep(np.concatenate([np.arange(a, b) for a, b in passed]), _rows(columns, len(objects)))
+    else:
+        raise ValueError(f"unknown record format: {fmt}")
+    if not n:
+        return errors, pa.array([], kind)
+    back = np.empty(n, np.int64)
+    back[np.concatenate(places)] = np.arange(n)
+    return errors, pa.concat_arrays(pieces).take(pa.array(back))
 
 
 def parse_batches(batches: Iterator[pa.RecordBatch], layouts: dict[str, list[str]], block: int, schema: pa.Schema, keep: int) -> Iterator[pa.RecordBatch]:
@@ -194,7 +231,7 @@ def parse_batches(batches: Iterator[pa.RecordBatch], layouts: dict[str, list[str
         yield pa.RecordBatch.from_arrays([*batch.columns[:keep], batch.column(keep), pa.array(errors.tolist(), pa.string()), fields], schema=schema)
 
 
-def parse_records(df: DataFrame, keep: list[str], dataset: str, record_format: str, record: str, layouts: dict[str, list[str]], block: int = 512) -> DataFrame:
+def parse_records(df: DataFrame, keep: list[str], dataset: str, record_format: str, record: str, layouts: dict[str, list[str]], block: int = 32) -> DataFrame:
     """``keep`` columns, dataset, ``structure`` (null, QUOTING, COLUMN_COUNT or JSON) and ``fields`` (array in layout order).
 
     One input row is one record. A null record counts as an empty text: COLUMN_COUNT for csv, JSON for json. Records
