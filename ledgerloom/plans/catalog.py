@@ -500,3 +500,93 @@ def silver_deficiencies(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"silver_penalties": silver_penalties, "silver_deficiencies": silver_deficiencies}
+
+
+# ---- relational primitives of the inventory, one query each ---------------------------------------------------------------
+
+
+@query("SELECT o_orderkey AS key, o_totalprice AS amount, o_orderstatus, 'orders' AS _dataset FROM orders")
+def dynamic_projection(spark, d):
+    names = {"o_orderkey": "key", "o_totalprice": "amount", "o_orderstatus": "o_orderstatus"}
+    return table(spark, d, "orders").select(*(F.col(c).alias(n) for c, n in names.items()), F.lit("orders").alias("_dataset"))
+
+
+@query("SELECT event_id, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events")
+def struct_expansion(spark, d):
+    return table(spark, d, "events").select("event_id", F.from_json("props", "k bigint").alias("r")).select("event_id", "r.*")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('O', 'P') AND CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'")
+def batch_slice(spark, d):
+    day = F.to_date("o_orderdate")
+    o = table(spark, d, "orders").filter(F.col("o_orderstatus").isin("O", "P"))
+    return o.filter((day >= F.lit("1996-01-01").cast("date")) & (day <= F.lit("1996-12-31").cast("date"))).select("o_orderkey")
+
+
+@query("SELECT o_orderkey, coalesce(CASE WHEN o_custkey % 3 > 0 THEN o_orderstatus END = 'O', false) AS is_open FROM orders")
+def equality_flag(spark, d):
+    status = F.when(F.col("o_custkey") % 3 > 0, F.col("o_orderstatus"))
+    return table(spark, d, "orders").select("o_orderkey", F.when(status.isNull(), False).otherwise(status == "O").alias("is_open"))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_custkey % 5 > 0 THEN o_orderstatus END IS NOT DISTINCT FROM CASE WHEN o_custkey % 7 > 0 THEN 'O' END AS same FROM orders")
+def null_safe_equality(spark, d):
+    a, b = F.when(F.col("o_custkey") % 5 > 0, F.col("o_orderstatus")), F.when(F.col("o_custkey") % 7 > 0, F.lit("O"))
+    return table(spark, d, "orders").select("o_orderkey", a.eqNullSafe(b).alias("same"))
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
+def semi_join(spark, d):
+    keys = table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    return table(spark, d, "customer").join(keys, "c_custkey", "left_semi").select("c_custkey")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_quantity > 45 AND r.l_orderkey = l.l_orderkey AND r.l_linenumber = l.l_linenumber)")
+def anti_join_composite(spark, d):
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    return li.join(li.filter("l_quantity > 45").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"], "left_anti").select("l_orderkey", "l_linenumber")
+
+
+@query("SELECT c_custkey, CAST(coalesce(n, 0) AS BIGINT) AS n_orders, last_order FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n, max(o_orderdate) AS last_order FROM orders GROUP BY 1) ON c_custkey = o_custkey")
+def left_join_rollup(spark, d):
+    per = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"), F.max("o_orderdate").alias("last_order"))
+    return table(spark, d, "customer").select("c_custkey").join(per, "c_custkey", "left").fillna(0, ["n_orders"])
+
+
+@query("SELECT user_id, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (event_type = 'click') AS BIGINT) AS clicks, CAST(count(DISTINCT event_type) AS BIGINT) AS kinds, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY 1 HAVING count(*) > 20")
+def grouped_counts_having(spark, d):
+    g = table(spark, d, "events").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "click").alias("clicks"), F.countDistinct("event_type").alias("kinds"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
+    )
+    return g.filter("n > 20")
+
+
+@query("SELECT DISTINCT o_custkey, o_orderstatus FROM orders")
+def distinct_keys(spark, d):
+    return table(spark, d, "orders").select("o_custkey", "o_orderstatus").dropDuplicates(["o_custkey", "o_orderstatus"])
+
+
+@query("SELECT o_orderkey, array_to_string(list_sort([x FOR x IN [o_orderpriority, o_orderstatus, CASE WHEN o_custkey % 2 = 0 THEN 'even' END] IF x IS NOT NULL]), '|') AS tags, o_custkey % 2 = 0 AS has_even FROM orders")
+def array_functions(spark, d):
+    tags = F.array_compact(F.array("o_orderpriority", "o_orderstatus", F.when(F.col("o_custkey") % 2 == 0, "even")))
+    o = table(spark, d, "orders").select("o_orderkey", tags.alias("t"))
+    return o.select("o_orderkey", F.array_join(F.array_sort("t"), "|").alias("tags"), F.exists("t", lambda x: x == "even").alias("has_even"))
+
+
+@query("""SELECT page, min(path) AS path FROM (SELECT user_id % 50 AS page, event_id AS path, ts, row_number() OVER (PARTITION BY user_id % 50 ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 GROUP BY 1""")
+def first_wins_map(spark, d):
+    e = table(spark, d, "events").select((F.col("user_id") % 50).alias("page"), "ts", "event_id")
+    return e.groupBy("page").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("path"))
+
+
+@query("SELECT o_orderkey, coalesce(CASE WHEN o_custkey % 4 > 0 THEN CAST(o_orderdate AS DATE) END, DATE '1992-01-01') AS window_end FROM orders")
+def additive_backfill(spark, d):
+    old = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 4 > 0, F.to_date("o_orderdate")).alias("window_end"))
+    return old.select("o_orderkey", F.coalesce("window_end", F.lit("1992-01-01").cast("date")).alias("window_end"))
+
+
+@query("SELECT batch_id, landing_path, CASE WHEN status = 'SUCCESS' AND dataset = 'penalties' THEN 500 ELSE source_rows END AS source_rows FROM source_file_manifest WHERE NOT coalesce(status = 'FAILURE', false)")
+def keyed_update_and_delete(spark, d):
+    m = table(spark, d, "source_file_manifest").filter(~F.coalesce(F.col("status") == "FAILURE", F.lit(False)))
+    hit = (F.col("status") == "SUCCESS") & (F.col("dataset") == "penalties")
+    return m.select("batch_id", "landing_path", F.when(hit, F.lit(500)).otherwise(F.col("source_rows")).cast("bigint").alias("source_rows"))

@@ -15,3 +15,11 @@ def spark():
     session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # operators over streams of batches must not depend on their size
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def small_batches(request):
+    """Operators over streams of batches must not depend on their size; tests on larger tables set their own."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
