@@ -58,8 +58,9 @@ def as_known(events: DataFrame, reports: DataFrame, event_entity: str, event_day
 
     Events without entity or day, or about whose entity nothing was known yet, keep nulls in the added columns; no
     event is dropped or repeated. Values are comparison keys (equal keys mean the same value). Extra columns of
-    ``events`` pass through; the added names are ``known_value``, ``known_<shown>`` and ``differs``.
+    ``events`` pass through; columns of the three added names are replaced.
     """
+    events = events.drop("known_value", f"known_{shown}", "differs")
     log = knowledge_log(reports, entity, known_from, rank, value)
     bounds = reports.agg(F.max(known_from).alias("d")).select(_period(F.col("d")).alias("p")).collect()  # one scalar
     horizon = (bounds[0]["p"] if bounds and bounds[0]["p"] is not None else 0) + 1
@@ -78,14 +79,14 @@ def as_known(events: DataFrame, reports: DataFrame, event_entity: str, event_day
                 ),
             )
         ).alias("m"),
-    ).select(F.col("entity").alias("_entity"), F.col("m.period").alias("_period"), F.col("m.base").alias("_base"), F.col("m.changes").alias("_changes"))
-    left = events.withColumn("_p", F.when(F.col(event_day).isNotNull(), F.least(_period(F.col(event_day)), F.lit(horizon))))
-    joined = left.join(filled, (left[event_entity] == filled["_entity"]) & (left["_p"] == filled["_period"]), "left")
-    replayed = F.get(F.reverse(F.filter("_changes", lambda c: c["known_from"] <= F.col(event_day))), F.lit(0))["s"]
-    known = F.coalesce(replayed, F.col("_base"))
-    return joined.withColumn("_known", known).select(
+    ).select(F.col("entity").alias("__entity"), F.col("m.period").alias("__period"), F.col("m.base").alias("__base"), F.col("m.changes").alias("__changes"))
+    left = events.withColumn("__p", F.when(F.col(event_day).isNotNull(), F.least(_period(F.col(event_day)), F.lit(horizon))))
+    joined = left.join(filled, (left[event_entity] == filled["__entity"]) & (left["__p"] == filled["__period"]), "left")
+    replayed = F.get(F.reverse(F.filter("__changes", lambda c: c["known_from"] <= F.col(event_day))), F.lit(0))["s"]
+    known = F.coalesce(replayed, F.col("__base"))
+    return joined.withColumn("__known", known).select(
         *events.columns,
-        F.col("_known.value").alias("known_value"),
-        F.col("_known.shown").alias(f"known_{shown}"),
-        F.col("_known.differs").alias("differs"),
+        F.col("__known.value").alias("known_value"),
+        F.col("__known.shown").alias(f"known_{shown}"),
+        F.col("__known.differs").alias("differs"),
     )

@@ -237,7 +237,11 @@ def parse_records(df: DataFrame, keep: list[str], dataset: str, record_format: s
     One input row is one record. A null record counts as an empty text: COLUMN_COUNT for csv, JSON for json. Records
     of unknown datasets or formats raise. Repeated rows are parsed each; absent JSON keys and JSON null are null
     fields, other JSON values count as their text, unknown keys are ignored; an empty frame gives an empty frame.
+    Columns that are not kept are ignored, whatever their names; kept ones named like the added ones raise.
     """
+    if clash := {"dataset", "structure", "fields", "_format", "_record"} & {*keep} - {dataset}:
+        raise ValueError(f"columns to keep must not be named {sorted(clash)}")
+    keep = [c for c in keep if c != "dataset"]
     narrow = df.select(*keep, F.col(dataset).alias("dataset"), F.lower(F.col(record_format)).alias("_format"), F.col(record).alias("_record"))
     out = narrow.select(*keep, "dataset", F.lit("").alias("structure"), F.array().cast("array<string>").alias("fields")).schema
     for f in out.fields:

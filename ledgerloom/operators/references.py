@@ -51,10 +51,12 @@ def orphan_references(references: DataFrame, parents: DataFrame, columns: list[s
 
     ``period`` is the key column that says when the parent must exist and ``entity`` the one that says which:
     ``DELETED`` if the entity has an earlier parent, else ``LATE`` if it has a later one, else ``MISSING``. A reference
-    whose period is null (before any parent period) under ``partial`` semantics is an orphan only if its entity is
-    unknown altogether; callers that need periods before the first use a period lower than all.
+    whose period is null is, under ``partial`` semantics, an orphan only if its entity is unknown altogether; callers
+    that need periods before the first use a period lower than all. Repeated references are reported each; other
+    columns pass through, one named ``reason`` is replaced.
     Orphan keys are joined back by a null-safe equi-join that AQE may split where a key is hot.
     """
+    references = references.drop("reason")
     spans = parents.groupBy(entity).agg(F.min(period).alias("_first"), F.max(period).alias("_last"))
     keys = orphan_keys(references, parents, columns, match, nullable)
     reasons = keys.join(spans, entity, "left").select(
@@ -62,6 +64,6 @@ def orphan_references(references: DataFrame, parents: DataFrame, columns: list[s
         F.when(F.col("_first") < F.col(period), "DELETED").when(F.col("_last") > F.col(period), "LATE").otherwise("MISSING").alias("reason"),
     )
     nullable = columns if nullable is None else nullable
-    right = reasons.select(*(F.col(c).alias(f"_k_{c}") for c in columns), "reason")
-    on = reduce(lambda a, b: a & b, [references[c].eqNullSafe(right[f"_k_{c}"]) if c in nullable else references[c] == right[f"_k_{c}"] for c in columns])
-    return references.join(right, on).drop(*(f"_k_{c}" for c in columns))
+    right = reasons.select(*(F.col(c).alias(f"__key_{c}") for c in columns), "reason")
+    on = reduce(lambda a, b: a & b, [references[c].eqNullSafe(right[f"__key_{c}"]) if c in nullable else references[c] == right[f"__key_{c}"] for c in columns])
+    return references.join(right, on).drop(*(f"__key_{c}" for c in columns))

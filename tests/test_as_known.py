@@ -11,7 +11,9 @@ RP = "ccn string, known date, as_of date, own string"
 
 
 def run(spark, events, reports):
-    e = spark.createDataFrame(events, EV).withColumn("entity", F.lit("clash"))
+    e = spark.createDataFrame(events, EV)
+    for clash in ("entity", "period", "base", "known_value", "differs", "changes", "m"):
+        e = e.withColumn(clash, F.lit("clash"))
     r = spark.createDataFrame(reports, RP)
     return as_known(e, r, "ccn", "day", "ccn", "known", ["as_of", "known"], "own", "as_of")
 

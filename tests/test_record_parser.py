@@ -4,6 +4,7 @@ import json
 import random
 
 import pyarrow as pa
+import pytest
 
 from ledgerloom.functions.rules import judge
 from ledgerloom.operators.record_parser import COLUMN_COUNT, JSON, QUOTING, parse_group, parse_records, strict_csv, strict_json
@@ -69,6 +70,8 @@ def test_records_keep_order_and_extra_columns(spark):
     assert got[0] == ("JSON", None) and got[2] == (None, ["1"]) and got[3] == ("JSON", None) and got[4] == ("QUOTING", None)
     assert len(got) == 8
     assert parse_records(df.limit(0), ["id"], "dataset", "fmt", "rec", {}).count() == 0
+    with pytest.raises(ValueError):
+        parse_records(df, ["id", "fields"], "dataset", "fmt", "rec", {})
 
 
 def reasons(spark, spec, **values):

@@ -42,7 +42,7 @@ def test_reasons_against_brute_force_with_a_hot_key(spark):
         return "DELETED" if any(p < i for p in mine) else "LATE" if any(p > i for p in mine) else "MISSING"
 
     want = {(n, reason(c, i)) for n, c, i in refs if reason(c, i)}
-    r = spark.createDataFrame(refs, "n int, ccn string, idx int").withColumn("_first", F.lit("clash"))
+    r = spark.createDataFrame(refs, "n int, ccn string, idx int").withColumn("_first", F.lit("clash")).withColumn("reason", F.lit("clash"))
     p = spark.createDataFrame(list(parents), "ccn string, idx int")
     got = orphan_references(r, p, ["ccn", "idx"], "idx", "ccn", PARTIAL, ["idx"])
     assert {(t["n"], t["reason"]) for t in got.collect()} == want
