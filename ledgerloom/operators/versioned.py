@@ -10,7 +10,7 @@ import time
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +34,9 @@ def write_json_atomically(path: str | Path, payload: object) -> None:
 class VersionedTable:
     """A table at ``root`` on a shared file system: ``v=N`` folders, a ``_CURRENT`` pointer and a ``_history`` of counts.
 
-    Each change writes a whole new version and then swaps the pointer, so a lost job leaves the old version current.
+    The pointer lists the folders of the current version. An append writes its own rows into a new folder and adds it to
+    the list; a change of existing rows writes one folder that replaces all. The pointer is swapped last, so a lost job
+    leaves the old version current.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
@@ -50,24 +52,28 @@ class VersionedTable:
     def version(self) -> int:
         return json.loads(self._pointer.read_text())["version"]
 
+    def _folders(self) -> list[str]:
+        return json.loads(self._pointer.read_text())["folders"] if self.exists() else []
+
     def read(self) -> DataFrame:
         if not self.exists():
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(str(self.root / f"v={self.version()}"))
+        return self.spark.read.schema(self.schema).parquet(*(str(self.root / f) for f in self._folders()))
 
     def ensure(self) -> str:
         """Create the empty table, or verify that the stored schema equals the declared one (names, types, order)."""
         if not self.exists():
             self.publish(self.spark.createDataFrame([], self.schema), "CREATE")
             return CREATED
-        stored = self.spark.read.parquet(str(self.root / f"v={self.version()}")).schema
+        stored = self.spark.read.parquet(str(self.root / self._folders()[-1])).schema
         have, want = ([(f.name, f.dataType.simpleString()) for f in s.fields] for s in (stored, self.schema))
         if have != want:
             raise SchemaMismatch(f"{self.root.name}: stored {have}, declared {want}")
         return VERIFIED
 
-    def publish(self, df: DataFrame, operation: str, counts: dict[str, int] | None = None) -> int:
-        """Write ``df`` as the next version and make it current. Declared NOT NULL columns are checked first."""
+    def publish(self, df: DataFrame, operation: str, counts: dict[str, int] | None = None, add: bool = False) -> int:
+        """Write ``df`` and make it current, instead of the old rows or (``add``) beside them. Columns declared NOT NULL
+        are checked in what was written before anything points at it."""
         required = [f.name for f in self.schema.fields if not f.nullable]
         number = self.version() + 1 if self.exists() else 0
         target = self.root / f"v={number}"
@@ -79,7 +85,7 @@ class VersionedTable:
             if any(broken.values()):
                 shutil.rmtree(target)
                 raise ValueError(f"null in required columns: {sorted(c for c, n in broken.items() if n)}")
-        write_json_atomically(self._pointer, {"version": number})
+        write_json_atomically(self._pointer, {"version": number, "folders": [*(self._folders() if add else []), target.name]})
         write_json_atomically(self.root / "_history" / f"{number:012d}.json", {"version": number, "operation": operation, "counts": counts or {}, "at": time.time()})
         return number
 
@@ -87,7 +93,7 @@ class VersionedTable:
         """Add rows; an empty frame changes nothing."""
         if df.isEmpty():
             return self.version() if self.exists() else self.publish(df, "APPEND")
-        return self.publish(self.read().unionByName(df.select(*self.schema.names)), "APPEND")
+        return self.publish(df, "APPEND", add=True)
 
     def update(self, condition, values: dict) -> int:
         new = {c: F.when(condition, values[c]).otherwise(F.col(c)) if c in values else F.col(c) for c in self.schema.names}
@@ -122,13 +128,13 @@ class BatchTable:
         """Replace the rows of one batch; an empty frame removes the batch. Unsafe batch ids raise."""
         if not _BATCH.fullmatch(batch_id):
             raise ValueError(f"unsafe batch id {batch_id!r}")
-        if df.filter(~F.col(self.batch).eqNullSafe(F.lit(batch_id))).limit(1).count():
-            raise ValueError("rows of another batch")
-        folder = self.root / f"{self.batch}={batch_id}"
-        if df.isEmpty():
-            shutil.rmtree(folder, ignore_errors=True)
-            return
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.batch).parquet(str(self.root))
+        same = F.col(self.batch).eqNullSafe(F.lit(batch_id))
+        checked = df.withColumn(self.batch, F.when(same, F.col(self.batch)).otherwise(F.raise_error(F.lit("rows of another batch"))))
+        seen = Observation()
+        counted = checked.observe(seen, F.count(F.lit(1)).alias("n"))  # counted by the write itself
+        counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.batch).parquet(str(self.root))
+        if not seen.get["n"]:  # a dynamic overwrite without rows leaves the old ones
+            shutil.rmtree(self.root / f"{self.batch}={batch_id}", ignore_errors=True)
 
     def read(self, *batches: str, evolve: bool = False) -> DataFrame:
         """All rows, or those of some batches (pruned by folder). Ids of digits only stay text, as the schema says so."""

@@ -275,6 +275,17 @@ def watermark_monotone(spark, d):
 # ---- control ----------------------------------------------------------------------------------------------------------
 
 
+_CONTROL = """mf AS (SELECT *, row_number() OVER (PARTITION BY dataset, batch_id ORDER BY load_timestamp DESC) AS rn, row_number() OVER (PARTITION BY acquisition_run_id, dataset, batch_id, landing_path ORDER BY load_timestamp DESC) AS rp
+  FROM source_file_manifest WHERE status IN ('SUCCESS', 'SKIPPED_ALREADY_ACQUIRED')),
+lg AS (SELECT DISTINCT dataset, batch_id, 'Raw-to-Bronze' AS layer FROM source_file_manifest WHERE source_bytes % 3 > 0 UNION SELECT DISTINCT dataset, batch_id, 'Bronze-to-Silver' FROM source_file_manifest WHERE source_bytes % 5 = 1)"""
+
+
+def _logs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    m = table(spark, d, "source_file_manifest")
+    one = lambda cond, layer: m.filter(cond).select("dataset", "batch_id", F.lit("r").alias("run_id"), F.lit(layer).alias("pipeline_layer"), F.lit("SUCCESS").alias("status"))
+    return m, one(F.col("source_bytes") % 3 > 0, "Raw-to-Bronze").unionByName(one(F.col("source_bytes") % 5 == 1, "Bronze-to-Silver"))
+
+
 @query("SELECT user_id, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS rn FROM events) WHERE rn = 1")
 def latest_per_key(spark, d):
     return control.latest(table(spark, d, "events"), ["user_id"], [F.desc("ts"), F.col("event_id")]).select("user_id", "event_id", "ts")
@@ -285,6 +296,13 @@ def newest_snapshot_per_type(spark, d):
     return control.latest(table(spark, d, "events"), ["event_type"], [F.desc("ts"), F.desc("value"), F.desc("event_id")]).select("event_type", "event_id")
 
 
+@query(f"""WITH {_CONTROL}, s AS (SELECT m.*, row_number() OVER (PARTITION BY dataset ORDER BY as_of_date DESC, load_timestamp DESC) AS r FROM source_file_manifest m
+  WHERE status IN ('SUCCESS', 'SKIPPED_ALREADY_ACQUIRED') AND row_count_validated AND acquisition_strategy IN ('bulk_snapshot', 'snapshot_diff') AND EXISTS (SELECT 1 FROM lg WHERE layer = 'Raw-to-Bronze' AND lg.dataset = m.dataset AND lg.batch_id = m.batch_id))
+SELECT dataset, as_of_date, load_timestamp FROM s WHERE r = 1""")
+def newest_validated_snapshot(spark, d):
+    return control.newest_snapshot(*_logs(spark, d)).select("dataset", "as_of_date", "load_timestamp")
+
+
 @query("SELECT event_type, max(ts) AS watermark_value FROM events GROUP BY 1")
 def top1_watermark(spark, d):
     e = table(spark, d, "events").select(F.col("event_type").alias("dataset"), F.col("ts").alias("watermark_value"), F.col("ts").alias("load_timestamp"))
@@ -297,17 +315,6 @@ def nulls_first_sort(spark, d):
     return o.orderBy(F.col("priority").asc_nulls_first(), "o_orderkey").limit(50)
 
 
-_CONTROL = """mf AS (SELECT *, row_number() OVER (PARTITION BY dataset, batch_id ORDER BY load_timestamp DESC) AS rn, row_number() OVER (PARTITION BY acquisition_run_id, dataset, batch_id, landing_path ORDER BY load_timestamp DESC) AS rp
-  FROM source_file_manifest WHERE status IN ('SUCCESS', 'SKIPPED_ALREADY_ACQUIRED')),
-lg AS (SELECT DISTINCT dataset, batch_id, 'Raw-to-Bronze' AS layer FROM source_file_manifest WHERE source_bytes % 3 > 0 UNION SELECT DISTINCT dataset, batch_id, 'Bronze-to-Silver' FROM source_file_manifest WHERE source_bytes % 5 = 1)"""
-
-
-def _logs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    m = table(spark, d, "source_file_manifest")
-    one = lambda cond, layer: m.filter(cond).select("dataset", "batch_id", F.lit("r").alias("run_id"), F.lit(layer).alias("pipeline_layer"), F.lit("SUCCESS").alias("status"))
-    return m, one(F.col("source_bytes") % 3 > 0, "Raw-to-Bronze").unionByName(one(F.col("source_bytes") % 5 == 1, "Bronze-to-Silver"))
-
-
 @query(f"""WITH {_CONTROL} SELECT m.dataset, m.batch_id FROM mf m WHERE rn = 1 AND EXISTS (SELECT 1 FROM lg WHERE layer = 'Raw-to-Bronze' AND lg.dataset = m.dataset AND lg.batch_id = m.batch_id)
 AND NOT EXISTS (SELECT 1 FROM lg WHERE layer = 'Bronze-to-Silver' AND lg.dataset = m.dataset AND lg.batch_id = m.batch_id)""")
 def work_selection(spark, d):

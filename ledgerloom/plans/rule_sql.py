@@ -67,7 +67,7 @@ _BARE = r"""regexp_replace(t, '"(?:[^"\\]|\\.)*"', '""', 'g')"""
 P5 = f"""WITH r AS (SELECT line_id, dataset, record_format AS fmt, coalesce(raw_record, '') AS t FROM raw_records),
 p AS (SELECT *, regexp_full_match(t, '{_FIELD}(?:,{_FIELD})*') AS fits,
   [CASE WHEN x[1] = '"' THEN replace(x[2:-2], '""', '"') ELSE x END FOR x IN regexp_extract_all(t || ',', '("(?:[^"]|"")*"|[^,]*),', 1)] AS f,
-  CASE WHEN fmt = 'json' AND json_valid(t) AND NOT regexp_matches({_BARE}, ',[ \t\r\n]*[}}\]]') THEN CASE WHEN json_type(t) = 'OBJECT' THEN t END END AS j FROM r)
+  CASE WHEN fmt = 'json' AND json_valid(t) AND NOT regexp_matches({_BARE}, ',[ \t\r\n]*[}}\\]]') THEN CASE WHEN json_type(t) = 'OBJECT' THEN t END END AS j FROM r)
 {_side('health_deficiencies', DEFICIENCIES)} UNION ALL {_side('penalties', PENALTIES)}"""
 
 _KEY = ("cms_certification_number_ccn", "penalty_date", "penalty_type", "fine_id", "payment_denial_start_date")
