@@ -39,9 +39,6 @@ class Tokenizer:
     encoding: tiktoken.Encoding
     lengths: np.ndarray  # bytes of each token
 
-    def batch(self, texts: list[str]) -> list[list[int]]:
-        return [self.encoding.encode_ordinary(t) for t in texts]
-
 
 @functools.lru_cache(maxsize=4)
 def load_tokenizer(name: str = DEFAULT, folder: str = TOKENIZER_DIR) -> Tokenizer:

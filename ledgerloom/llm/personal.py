@@ -289,9 +289,9 @@ def _after_cue(text: str, low: str, end: int, kind: str) -> tuple[int, int] | No
 _BEFORE_AFTER = re.compile(rf"(?<![\w'’.-])(?:{_WORD},[ ]{_WORD}(?:[ ]{_L}\.)?|(?:{_WORD}|{_L}\.)(?:[ ]{_L}\.)?[ ]{_WORD})[ ]\Z")
 
 
-def _plausible(text: str, low: str, span: tuple[int, int], kind: str) -> bool:
-    """Names after weak cues are capitalised, or wholly in the case of their cue's line."""
-    words = [m.group() for m in re.finditer(_WORD, text[span[0] : span[1]])]
+def _plausible(text: str, span: tuple[int, int]) -> bool:
+    """A name has words, and none of them is a stop word."""
+    words = re.findall(_WORD, text[span[0] : span[1]])
     return bool(words) and all(w.lower() not in _STOP for w in words if len(w) > 1)
 
 
@@ -328,7 +328,7 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                     span = (m.start(), m.end() - 1)
             else:
                 span = _after_cue(text, low, end, kind)
-            if span and (label != NAME or _plausible(text, low, span, kind)):
+            if span and (label != NAME or _plausible(text, span)):
                 hits.add((*span, label))
     chosen: list[tuple[int, int, str]] = []
     taken: list[tuple[int, int]] = []
