@@ -63,7 +63,8 @@ def path_values(records: DataFrame, path: str, row_no: str, record: str, small_f
     """
     rows = records.select(F.col(path).alias("path"), F.col(row_no).alias("row_no"), F.col(record).alias("record"))
     is_csv = F.lower("path").endswith(".csv")
-    heads = rows.filter(is_csv & (F.col("row_no") == 0)).select("path", F.transform(csv_fields(F.col("record")), field_name).alias("names"))
+    # one row per csv file, written once: counted here, then used by every reading of the values
+    heads = cut_lineage(rows.filter(is_csv & (F.col("row_no") == 0)).select("path", F.transform(csv_fields(F.col("record")), field_name).alias("names")))
     pairs = F.arrays_zip(F.col("names").alias("name"), csv_fields(F.col("record")).alias("value"))
     csv_entries = F.filter(pairs, lambda e: e["name"].isNotNull() & (e["name"] != ""))
     json_entries = F.map_entries(F.from_json("record", "map<string,string>")).cast("array<struct<name:string,value:string>>")
