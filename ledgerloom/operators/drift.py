@@ -51,8 +51,15 @@ def read_typed(value: Column, kind: str | None) -> Column:
     return F.when(reads_as(value, kind), value).try_cast(kind)
 
 
+def _is_header() -> Column:
+    """Whether a row of values is the header of a csv file."""
+    return F.lower("path").endswith(".csv") & (F.col("row_no") == 0)
+
+
 def path_values(records: DataFrame, path: str, row_no: str, record: str, small_files: int = 50_000) -> DataFrame:
-    """(path, row_no, entries): one row per data record, entries = array of (name, value).
+    """(path, row_no, entries): one row per record, entries = array of (name, value).
+
+    The header of a csv file is its row 0, with its names and null values, so that a file without data rows has fields.
 
     Names of csv fields are normalised; JSON keys stay raw, since normalising each of them on each row would cost more
     than parsing; users of the entries normalise the few distinct ones.
@@ -66,9 +73,10 @@ def path_values(records: DataFrame, path: str, row_no: str, record: str, small_f
     # one row per csv file, written once: counted here, then used by every reading of the values
     heads = cut_lineage(rows.filter(is_csv & (F.col("row_no") == 0)).select("path", F.transform(csv_fields(F.col("record")), field_name).alias("names")))
     pairs = F.arrays_zip(F.col("names").alias("name"), csv_fields(F.col("record")).alias("value"))
-    csv_entries = F.filter(pairs, lambda e: e["name"].isNotNull() & (e["name"] != ""))
     json_entries = F.map_entries(F.from_json("record", "map<string,string>")).cast("array<struct<name:string,value:string>>")
-    body = rows.filter(~is_csv | (F.col("row_no") > 0))
+    head_entries = F.transform("names", lambda n: F.struct(n.alias("name"), F.lit(None).cast("string").alias("value")))
+    csv_entries = F.filter(F.when(_is_header(), head_entries).otherwise(pairs), lambda e: e["name"].isNotNull() & (e["name"] != ""))
+    body = rows.filter(~is_csv | (F.col("row_no") >= 0))
     if heads.limit(small_files + 1).count() <= small_files:  # one pass over the records
         joined = body.join(F.broadcast(heads), "path", "left")
         return joined.select("path", "row_no", F.when(is_csv, csv_entries).otherwise(json_entries).alias("entries"))
@@ -92,11 +100,14 @@ _READS = {"date": ("date",), "int": ("int",), "double": ("int", "decimal", "doub
 
 
 def path_statistics(values: DataFrame) -> DataFrame:
-    """(path, name, rows, present, k0...): per file and field the rows, non-blank values and how many read as each kind."""
-    flat = values.select("path", F.explode("entries").alias("e")).select("path", F.col("e.name").alias("name"), blank_to_null("e.value").alias("value"))
-    typed = flat.select("path", "name", F.when(F.col("value").isNotNull(), raw_type(F.col("value"))).alias("raw"))
+    """(path, name, rows, present, k0...): per file and field the rows, non-blank values and how many read as each kind.
+
+    The fields of a csv file are those of its header, which counts as no row.
+    """
+    flat = values.select("path", _is_header().alias("header"), F.explode("entries").alias("e")).select("path", "header", F.col("e.name").alias("name"), blank_to_null("e.value").alias("value"))
+    typed = flat.select("path", "header", "name", F.when(F.col("value").isNotNull(), raw_type(F.col("value"))).alias("raw"))
     ok = [F.count_if(F.col("raw").isin(*_READS[k])).alias(f"k{i}") for i, k in enumerate(KINDS)]
-    raw = typed.groupBy("path", "name").agg(F.count(F.lit(1)).alias("rows"), F.count("raw").alias("present"), *ok)
+    raw = typed.groupBy("path", "name").agg(F.count_if(~F.col("header")).alias("rows"), F.count("raw").alias("present"), *ok)
     sums = ["rows", "present", *(f"k{i}" for i in range(len(KINDS)))]
     named = raw.withColumn("name", field_name(F.col("name"))).filter("name <> ''")
     return named.groupBy("path", "name").agg(*(F.sum(c).alias(c) for c in sums))
@@ -197,7 +208,7 @@ def consistent_table(values: DataFrame, files: DataFrame, canon: DataFrame, data
     ``extra`` is a map of the fields outside the data model, ``failed_casts`` the names of the columns whose non-blank
     value could not be read (the typed column is then null).
     """
-    rows = values.join(files.filter(F.col("dataset") == dataset).select("path", "feed"), "path").join(canon, "feed", "left")
+    rows = values.filter(~F.coalesce(_is_header(), F.lit(False))).join(files.filter(F.col("dataset") == dataset).select("path", "feed"), "path").join(canon, "feed", "left")
     known = F.array(*(F.lit(k) for k in kinds))
     plain = lambda n: F.when(F.array_contains(known, n), n).otherwise(F.coalesce(F.col("canon")[n], n))
     entries = F.transform("entries", lambda e: F.struct(plain(field_name(e["name"])).alias("name"), e["value"].alias("value")))

@@ -6,7 +6,7 @@ import brute
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import assess_header, assess_keys, match_key, new_name, qualified_name, strict_mapping
-from ledgerloom.operators.drift import canonical_names, consistent_table, csv_fields, drift_report, ordered_files, path_values
+from ledgerloom.operators.drift import canonical_names, consistent_table, csv_fields, drift_report, ordered_files, path_statistics, path_values
 import pytest
 
 KINDS = {"penalties": {"ccn": "", "amount": "decimal(14,2)", "day": "date", "flag": "boolean", "n": "int"}}
@@ -84,6 +84,19 @@ def test_consistent_table_reads_renamed_fields_and_reports_failed_casts(spark):
     assert got[(b, 3)]["ccn"] == "3" and got[(b, 4)]["ccn"] is None and len(got) == 7
 
 
+def test_a_header_alone_gives_a_csv_file_its_fields(spark):
+    days = {f"landing/penalties/f/2024-0{m}-01/x.csv": dt.date(2024, m, 1) for m in (1, 2, 3)}
+    a, b, c = days
+    rows = [(a, 0, "ccn,amount,n"), (a, 1, "1,5.00,7"), (a, 2, "2,6.00,8"), (b, 0, "CCN,Amount,N,note"), (c, 0, "ccn,amount,n,note"), (c, 1, "1,x5,7,e"), (c, 2, "2,x6,8,e")]
+    values, files = frames(spark, rows, days)
+    assert {tuple(r) for r in path_statistics(values).filter(F.col("path") == b).select("name", "rows", "present").collect()} == {(n, 0, 0) for n in ("ccn", "amount", "n", "note")}
+    report, canon = drift_report(values, files, KINDS)
+    got = {tuple(r) for r in report.collect()}
+    assert got == brute.drift(rows, days, KINDS) == {(b, "ADDED_COLUMN", "note"), (c, "TYPE_VALUE_FAILURE", "amount")}
+    table = consistent_table(values, files, canon, "penalties", KINDS["penalties"])
+    assert sorted((r["path"], r["row_no"]) for r in table.collect()) == [(a, 1), (a, 2), (c, 1), (c, 2)]
+
+
 def test_empty_landing(spark):
     values, files = frames(spark, [], {"landing/penalties/f/2024-01-01/x.csv": dt.date(2024, 1, 1)})
     report, canon = drift_report(values, files, KINDS)
