@@ -136,6 +136,15 @@ class BatchTable:
         if not seen.get["n"]:  # a dynamic overwrite without rows leaves the old ones
             shutil.rmtree(self.root / f"{self.batch}={batch_id}", ignore_errors=True)
 
+    def replace_many(self, df: DataFrame, counts: dict[str, int]) -> None:
+        """Replace the batches named in ``counts``, which gives the rows ``df`` has of each; a batch without rows is removed."""
+        if unsafe := [b for b in counts if not _BATCH.fullmatch(b)]:
+            raise ValueError(f"unsafe batch ids {unsafe}")
+        df.select(*self.schema.names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.batch).parquet(str(self.root))
+        for b, n in counts.items():
+            if not n:  # a dynamic overwrite without rows leaves the old ones
+                shutil.rmtree(self.root / f"{self.batch}={b}", ignore_errors=True)
+
     def read(self, *batches: str, evolve: bool = False) -> DataFrame:
         """All rows, or those of some batches (pruned by folder). Ids of digits only stay text, as the schema says so."""
         if not self.root.exists() or not any(self.root.glob(f"{self.batch}=*")):

@@ -9,7 +9,7 @@ import re
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,11 @@ from ledgerloom.functions.headers import Assessment, assess_header, assess_keys
 from ledgerloom.spec import HEADER_OVERRIDES, DatasetSpec
 
 CORRUPT = "_corrupt_record"
+#: The Bronze quarantine.
+QUARANTINE = T.StructType(
+    [*(T.StructField(n, T.StringType()) for n in ("dataset", "dataset_id", "source_file", "source_file_sha256", "batch_id", "load_type", "raw_record", "corrupt_record"))]
+    + [T.StructField("failed_rules", T.ArrayType(T.StringType())), T.StructField("load_timestamp", T.TimestampType())]
+)
 
 
 class IntegrityError(ValueError):
@@ -131,6 +136,15 @@ class Loaded:
     drift: Assessment
 
 
+def quarantined(bad: DataFrame, columns: list[str], dataset: Column, dataset_id: Column, source_file: Column, sha256: Column, batch_id: Column, load_type: Column) -> DataFrame:
+    """Rows with a corrupt record as rows of the Bronze quarantine."""
+    return bad.select(
+        dataset.alias("dataset"), dataset_id.alias("dataset_id"), source_file.alias("source_file"), sha256.alias("source_file_sha256"), batch_id.alias("batch_id"),
+        load_type.alias("load_type"), F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("raw_record"),
+        F.col(CORRUPT).alias("corrupt_record"), F.array(F.lit("CORRUPT_RECORD")).alias("failed_rules"), F.current_timestamp().alias("load_timestamp"),
+    )
+
+
 def load_file(spark: SparkSession, item: Landed, spec: DatasetSpec) -> Loaded:
     """Integrity, drift, then the rows of one file as Bronze rows and as quarantine rows.
 
@@ -155,11 +169,8 @@ def load_file(spark: SparkSession, item: Landed, spec: DatasetSpec) -> Loaded:
     else:
         parsed = read_page(spark, item.path, drift.columns).withColumn(CORRUPT, F.lit(None).cast("string"))
     good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT).withColumns(stamp)
-    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(
-        F.lit(spec.name).alias("dataset"), F.lit(spec.dataset_id).alias("dataset_id"), F.lit(item.path).alias("source_file"), F.lit(item.sha256).alias("source_file_sha256"),
-        F.lit(item.batch_id).alias("batch_id"), F.lit(item.load_type).alias("load_type"), F.to_json(F.struct(*drift.columns), {"ignoreNullFields": "false"}).alias("raw_record"),
-        F.col(CORRUPT).alias("corrupt_record"), F.array(F.lit("CORRUPT_RECORD")).alias("failed_rules"), F.current_timestamp().alias("load_timestamp"),
-    )
+    lineage = (F.lit(x) for x in (spec.name, spec.dataset_id, item.path, item.sha256, item.batch_id, item.load_type))
+    bad = quarantined(parsed.filter(F.col(CORRUPT).isNotNull()), drift.columns, *lineage)
     return Loaded(good, bad, drift)
 
 

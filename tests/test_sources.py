@@ -8,7 +8,7 @@ from ledgerloom.operators.versioned import BatchTable
 from ledgerloom.sources.files import BreakingDrift, EnvelopeError, IntegrityError, Landed, check_page, csv_header, load_file, page_facts, split_by_cutoff, verify_files
 from ledgerloom.sources.paged import PagedSource, batch_id, csv_distribution, fetch_bulk, fetch_window, page_url, retry
 from ledgerloom.spec import PENALTY_COLUMNS, dataset
-from ledgerloom.streaming.ingest import run_into, stream_csv
+from ledgerloom.streaming.ingest import quarantine_of, run_into, stream_csv
 
 SPEC = dataset("penalties")
 ROW = ["012345", "Home", 'a "b", c', "City", "TX", "12345", "2024-01-05", "Fine", "F1", "10", "", "", "line\nbreak", "2024-02-01"]
@@ -146,3 +146,27 @@ def test_stream(spark, tmp_path):
     write("b.csv", "2024-01-03")
     run_into(stream_csv(spark, str(folder), SPEC), table, str(tmp_path / "cp")).awaitTermination(60)
     assert table.read().count() == 3 and table.read().select("_batch_id").distinct().count() == 2
+
+
+def test_stream_quarantines_broken_rows_and_replaces_by_batch(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    write = lambda name, *rows: (folder / name).write_text("\n".join([",".join(PENALTY_COLUMNS), *rows]) + "\n")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*PENALTY_COLUMNS, "_batch_id")])
+    table = BatchTable(spark, str(tmp_path / "out"), schema)
+
+    def load(run):  # another checkpoint each time: every file is delivered again
+        run_into(stream_csv(spark, str(folder), SPEC), table, str(tmp_path / run)).awaitTermination(60)
+        return table.read().collect(), quarantine_of(table).read().collect()
+
+    short, long = quoted(*ROW[:-1]), quoted(*ROW, "x")
+    write("a.csv", quoted(*ROW), short)
+    write("b.csv", quoted(*ROW), quoted(*ROW), long)
+    good, bad = load("1")
+    assert len(good) == 3 and all(r["location"] == "line\nbreak" for r in good)  # as load_file reads it
+    assert len(bad) == 2 and {tuple(r["failed_rules"]) for r in bad} == {("CORRUPT_RECORD",)}
+    assert {r["dataset"] for r in bad} == {"penalties"} and all(r["corrupt_record"] for r in bad) and {r["source_file"].rsplit("/", 1)[1] for r in bad} == {"a.csv", "b.csv"}
+    write("a.csv", short, short)
+    write("b.csv", quoted(*ROW))
+    good, bad = load("2")
+    assert len(good) == 1 and len(bad) == 2 and {r["batch_id"] for r in bad}.isdisjoint(r["_batch_id"] for r in good)
