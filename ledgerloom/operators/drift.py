@@ -66,12 +66,14 @@ def path_values(records: DataFrame, path: str, row_no: str, record: str, small_f
 
     ``records`` holds one record per row; csv files have their header in row 0, other files hold one JSON object per
     row. Null or unreadable records have no entries; a field without a header is left out; of equal names the first
-    counts. Headers are joined by broadcast while their number is counted to be small, by shuffle beyond.
+    counts. Of several rows 0 of a csv file the least text is the header; without a row 0 its rows have no entries.
+    Headers are joined by broadcast while their number is counted to be small, by shuffle beyond.
     """
     rows = records.select(F.col(path).alias("path"), F.col(row_no).alias("row_no"), F.col(record).alias("record"))
     is_csv = F.lower("path").endswith(".csv")
     # one row per csv file, written once: counted here, then used by every reading of the values
-    heads = cut_lineage(rows.filter(is_csv & (F.col("row_no") == 0)).select("path", F.transform(csv_fields(F.col("record")), field_name).alias("names")))
+    first = rows.filter(is_csv & (F.col("row_no") == 0)).groupBy("path").agg(F.min("record").alias("record"))
+    heads = cut_lineage(first.select("path", F.transform(csv_fields(F.col("record")), field_name).alias("names")))
     pairs = F.arrays_zip(F.col("names").alias("name"), csv_fields(F.col("record")).alias("value"))
     json_entries = F.map_entries(F.from_json("record", "map<string,string>")).cast("array<struct<name:string,value:string>>")
     head_entries = F.transform("names", lambda n: F.struct(n.alias("name"), F.lit(None).cast("string").alias("value")))
@@ -80,7 +82,7 @@ def path_values(records: DataFrame, path: str, row_no: str, record: str, small_f
     if heads.limit(small_files + 1).count() <= small_files:  # one pass over the records
         joined = body.join(F.broadcast(heads), "path", "left")
         return joined.select("path", "row_no", F.when(is_csv, csv_entries).otherwise(json_entries).alias("entries"))
-    csv = body.filter(is_csv).join(heads, "path").select("path", "row_no", csv_entries.alias("entries"))
+    csv = body.filter(is_csv).join(heads, "path", "left").select("path", "row_no", csv_entries.alias("entries"))
     return csv.unionByName(body.filter(~is_csv).select("path", "row_no", json_entries.alias("entries")))
 
 

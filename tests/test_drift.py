@@ -68,6 +68,16 @@ def test_shuffled_headers_give_the_same_values(spark):
     assert a.select("path", "row_no", F.to_json("entries")).exceptAll(b.select("path", "row_no", F.to_json("entries"))).isEmpty()
 
 
+@pytest.mark.parametrize("small_files", [50_000, 0])
+def test_missing_and_repeated_headers_neither_lose_nor_multiply_rows(spark, small_files):
+    rows = [("a.csv", 1, "1,2"), ("a.csv", 2, "3,4"), ("b.csv", 0, "x,y"), ("b.csv", 0, "x,z"), ("b.csv", 0, None), ("b.csv", 1, "5,6"), ("c.json", 0, '{"k":"v"}')]
+    df = spark.createDataFrame(rows, "p string, n int, r string")
+    got = path_values(df, "p", "n", "r", small_files=small_files).filter("path <> 'b.csv' OR row_no > 0").collect()
+    assert sorted((r["path"], r["row_no"], r["entries"] and [tuple(e) for e in r["entries"]]) for r in got) == [
+        ("a.csv", 1, None), ("a.csv", 2, None), ("b.csv", 1, [("x", "5"), ("y", "6")]), ("c.json", 0, [("k", "v")]),
+    ]
+
+
 def test_consistent_table_reads_renamed_fields_and_reports_failed_casts(spark):
     days = {f"landing/penalties/f/2024-0{m}-01/x.csv": dt.date(2024, m, 1) for m in (1, 2)}
     a, b = days
