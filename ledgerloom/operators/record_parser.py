@@ -22,7 +22,6 @@ QUOTING, COLUMN_COUNT, JSON = "QUOTING", "COLUMN_COUNT", "JSON"
 #: A record of comma-separated fields; quotes only around whole fields, doubled inside; line breaks only inside quotes.
 _FIELD = r'(?:[^",\r\n]*|"(?:[^"]|"")*")'
 CSV_GRAMMAR = rf"\A{_FIELD}(?:,{_FIELD})*\z"
-_QUOTED = r'"(?:[^"]|"")*"'
 _SEPARATOR = "\u0002record\u0003"
 
 
@@ -143,8 +142,8 @@ def _bisect(lo: int, hi: int, passes: Callable[[int, int], bool], alone: Callabl
 def parse_group(records: pa.Array, fmt: str, layout: list[str], block: int) -> tuple[list[str | None], pa.ListArray]:
     """Structure error (or None) and fields of each record of one format and layout; fields of bad records are null.
 
-    csv: the grammar and the number of separators outside quotes are tested column-wise, running sums tell at once
-    whether a block passes, and all blocks that passed are parsed together. JSON: the block's parse is its test.
+    csv: a block passes if its records obey the grammar, tested column-wise, and its columnar parse finds ``width``
+    fields in each. JSON: the block's parse is its test.
     """
     n, width = len(records), len(layout)
     filled = records.fill_null("")
@@ -174,18 +173,17 @@ def parse_group(records: pa.Array, fmt: str, layout: list[str], block: int) -> t
         keep(np.array([i]), pa.array([None], kind))
 
     if fmt == "csv":
-        bare = pc.replace_substring_regex(filled, _QUOTED, "")
-        fits = pc.and_(pc.match_substring_regex(filled, CSV_GRAMMAR), pc.equal(pc.count_substring(bare, ","), width - 1))
-        broken = np.concatenate([[0], np.cumsum(~fits.to_numpy(zero_copy_only=False))])
-        passed = [p for lo in range(0, n, block) for p in _bisect(lo, min(n, lo + block), lambda a, b: broken[a] == broken[b], alone)]
-        if passed:
-            at = np.concatenate([np.arange(a, b) for a, b in passed])
-            columns = csv_block([texts[i] for i in at], width)
+
+        def sound(a: int, b: int) -> bool:
+            obeys = pc.all(pc.match_substring_regex(filled.slice(a, b - a), CSV_GRAMMAR)).as_py()
+            columns = csv_block(texts[a:b], width) if obeys else None
             if columns is not None:
-                keep(at, _rows(columns, len(at)))
-            else:  # the reader is stricter than the tests somewhere: the records stand alone
-                for i in at:
-                    alone(int(i))
+                keep(np.arange(a, b), _rows(columns, b - a))
+            return columns is not None
+
+        for lo in range(0, n, block):
+            for _ in _bisect(lo, min(n, lo + block), sound, alone):
+                pass  # kept by its test
     elif fmt == "json":
         parsed: dict[tuple[int, int], list[dict]] = {}
 

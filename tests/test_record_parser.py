@@ -48,6 +48,18 @@ def test_csv_blocks_equal_the_strict_parser():
         assert got == (want if error is None else None)
 
 
+def test_a_failing_csv_block_is_bisected_by_its_parses(monkeypatch):
+    from ledgerloom.operators import record_parser
+
+    parsed, strict = [], []
+    block, alone = record_parser.csv_block, record_parser.strict_csv
+    monkeypatch.setattr(record_parser, "csv_block", lambda records, width: parsed.append(len(records)) or block(records, width))
+    monkeypatch.setattr(record_parser, "strict_csv", lambda record: strict.append(record) or alone(record))
+    errors, _ = parse_group(pa.array(["a,b"] * 11 + ["a"] + ["a,b"] * 20), "csv", ["x", "y"], 16)
+    assert [i for i, e in enumerate(errors) if e] == [11] and errors[11] == COLUMN_COUNT
+    assert parsed == [16, 8, 8, 4, 2, 2, 1, 1, 4, 16] and strict == ["a"]
+
+
 def test_json_blocks_equal_the_strict_parser():
     rng = random.Random(2)
     value = lambda: rng.choice(["x", 'q"', None, 3, 2.50, True, {"n": [1]}, ""])
