@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import io
 import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 QUOTING, COLUMN_COUNT, JSON = "QUOTING", "COLUMN_COUNT", "JSON"
+UNKNOWN_DATASET, UNKNOWN_FORMAT = "UNKNOWN_DATASET", "UNKNOWN_FORMAT"
 #: A record of comma-separated fields; quotes only around whole fields, doubled inside; line breaks only inside quotes.
 _FIELD = r'(?:[^",\r\n]*|"(?:[^"]|"")*")'
 CSV_GRAMMAR = rf"\A{_FIELD}(?:,{_FIELD})*\z"
@@ -81,6 +83,14 @@ def _text(value) -> str | None:
     return json.dumps(value, ensure_ascii=False)
 
 
+def _texts(values: list[str | None]) -> pa.Array:
+    """A text column; unpaired surrogates, which JSON escapes can give but UTF-8 cannot hold, become U+FFFD."""
+    try:
+        return pa.array(values, pa.string())
+    except UnicodeEncodeError:
+        return pa.array([v and re.sub("[\ud800-\udfff]", "\ufffd", v) for v in values], pa.string())
+
+
 def csv_block(records: list[str], width: int) -> list[pa.Array] | None:
     """Columns of a block of records that obey the grammar, or None if any has another number of fields."""
     if "" in records:  # an empty line has one field, but the reader takes it for a row of nothing
@@ -167,7 +177,7 @@ def parse_group(records: pa.Array, fmt: str, layout: list[str], block: int) -> t
         else:
             value = strict_json(texts[i])
             if value is not None:
-                keep(np.array([i]), pa.array([[_text(value.get(name)) for name in layout]], kind))
+                keep(np.array([i]), _rows([_texts([_text(value.get(name))]) for name in layout], 1))
                 return
             errors[i] = JSON
         keep(np.array([i]), pa.array([None], kind))
@@ -196,7 +206,7 @@ def parse_group(records: pa.Array, fmt: str, layout: list[str], block: int) -> t
         passed = [p for lo in range(0, n, block) for p in _bisect(lo, min(n, lo + block), passes, alone)]
         if passed:
             objects = [o for p in passed for o in parsed[p]]
-            columns = [pa.array([v if (v := o.get(name)) is None or type(v) is str else _text(v) for o in objects], pa.string()) for name in layout]
+            columns = [_texts([v if (v := o.get(name)) is None or type(v) is str else _text(v) for o in objects]) for name in layout]
             keep(np.concatenate([np.arange(a, b) for a, b in passed]), _rows(columns, len(objects)))
     else:
         raise ValueError(f"unknown record format: {fmt}")
@@ -213,13 +223,16 @@ def parse_batches(batches: Iterator[pa.RecordBatch], layouts: dict[str, list[str
         n = batch.num_rows
         if not n:
             continue
-        groups = pc.binary_join_element_wise(batch.column(keep).fill_null("?"), batch.column(keep + 1).fill_null("?"), "\n").to_numpy(zero_copy_only=False)
+        groups = pc.binary_join_element_wise(batch.column(keep + 1).fill_null(""), batch.column(keep).fill_null(""), "\n").to_numpy(zero_copy_only=False)
         errors = np.empty(n, object)
         order, pieces = [], []
         for g in np.unique(groups.astype(str)):
             at = np.flatnonzero(groups == g)
-            dataset, fmt = g.split("\n")
-            found, fields = parse_group(batch.column(keep + 2).take(pa.array(at)), fmt, layouts[dataset], block)
+            fmt, dataset = g.split("\n", 1)
+            if dataset in layouts and fmt in ("csv", "json"):
+                found, fields = parse_group(batch.column(keep + 2).take(pa.array(at)), fmt, layouts[dataset], block)
+            else:
+                found, fields = UNKNOWN_FORMAT if dataset in layouts else UNKNOWN_DATASET, pa.nulls(len(at), kind)
             errors[at] = found
             order.append(at)
             pieces.append(fields)
@@ -230,10 +243,11 @@ def parse_batches(batches: Iterator[pa.RecordBatch], layouts: dict[str, list[str
 
 
 def parse_records(df: DataFrame, keep: list[str], dataset: str, record_format: str, record: str, layouts: dict[str, list[str]], block: int = 32) -> DataFrame:
-    """``keep`` columns, dataset, ``structure`` (null, QUOTING, COLUMN_COUNT or JSON) and ``fields`` (array in layout order).
+    """``keep`` columns, dataset, ``structure`` (null, QUOTING, COLUMN_COUNT, JSON, UNKNOWN_DATASET or UNKNOWN_FORMAT) and ``fields`` (array in layout order).
 
     One input row is one record. A null record counts as an empty text: COLUMN_COUNT for csv, JSON for json. Records
-    of unknown datasets or formats raise. Repeated rows are parsed each; absent JSON keys and JSON null are null
+    of a null or unknown dataset or format are not parsed: UNKNOWN_DATASET, else UNKNOWN_FORMAT. Unpaired surrogates of
+    JSON escapes become U+FFFD. Repeated rows are parsed each; absent JSON keys and JSON null are null
     fields, other JSON values count as their text, unknown keys are ignored; an empty frame gives an empty frame.
     Columns that are not kept are ignored, whatever their names; kept ones named like the added ones raise.
     """

@@ -86,6 +86,16 @@ def test_records_keep_order_and_extra_columns(spark):
         parse_records(df, ["id", "fields"], "dataset", "fmt", "rec", {})
 
 
+def test_no_record_ends_the_query(spark):
+    rows = [(0, None, "csv", "1"), (1, "h", None, "1"), (2, "q", "xml", "1"), (3, "h", "xml", "1"), (4, "h", "json", '{"x":"a\\ud800b"}'), (5, "h", "json", '{"x":["\\udc00"]}'), (6, "h", "json", '{"x":"\\ud83d\\ude00"}'), (7, "h\nq", "csv", "1"), (8, "h", "csv", "1")]
+    df = spark.createDataFrame(rows, "id int, dataset string, fmt string, rec string")
+    got = {r["id"]: (r["structure"], r["fields"]) for r in parse_records(df, ["id"], "dataset", "fmt", "rec", {"h": ["x"]}).collect()}
+    assert got == {
+        0: ("UNKNOWN_DATASET", None), 1: ("UNKNOWN_FORMAT", None), 2: ("UNKNOWN_DATASET", None), 3: ("UNKNOWN_FORMAT", None), 4: (None, ["a\ufffdb"]),
+        5: (None, ['["\ufffd"]']), 6: (None, ["\U0001f600"]), 7: ("UNKNOWN_DATASET", None), 8: (None, ["1"]),
+    }
+
+
 def reasons(spark, spec, **values):
     row = [values.get(c) for c in spec.source]
     df = spark.createDataFrame([row], ", ".join(f"{c} string" for c in spec.source))
