@@ -9,14 +9,14 @@ from ledgerloom.functions.values import alnum_key, date_text, flexible_date, iso
 from ledgerloom.operators.as_known import as_known
 from ledgerloom.operators.deliveries import full_delivery_batches, newest_non_blank, snapshot_batches
 from ledgerloom.functions.rules import judge
-from ledgerloom.operators.drift import consistent_table, drift_report, ordered_files, path_values
+from ledgerloom.operators.drift import Landing, consistent_table, drift_report, land, ordered_files, reading_problems
 from ledgerloom.operators.history import version_history
 from ledgerloom.operators.profile import HISTOGRAM, VALIDITY, grouped_median, load_histogram, share
 from ledgerloom.operators.record_parser import parse_records
 from ledgerloom.operators.references import PARTIAL, orphan_references
 from ledgerloom.operators.snapshot_diff import comparable, content_hash, snapshot_changes
 from ledgerloom.session import bounded_broadcast, cut_lineage, table
-from ledgerloom.spec import DATASETS, silver_kinds
+from ledgerloom.spec import DATASETS, REGISTRY, silver_kinds
 
 CCN = "cms_certification_number_ccn"
 
@@ -183,24 +183,30 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["p6_found"] = p6_found
 
 
-def _landing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    records = table(spark, sf_dir, "landing_records")
-    files = cut_lineage(ordered_files(table(spark, sf_dir, "source_file_manifest"), records, "landing_path"))
-    return path_values(records, "landing_path", "row_no", "record"), files
+def _landing(spark: SparkSession, sf_dir: str) -> tuple[Landing, DataFrame]:
+    landing = land(table(spark, sf_dir, "landing_records"), "landing_path", "row_no", "record")
+    return landing, cut_lineage(ordered_files(table(spark, sf_dir, "source_file_manifest"), landing))
+
+
+_KINDS = {d: silver_kinds(s) for d, s in DATASETS.items()}
+_IDENTITY = {d: s.key for d, s in REGISTRY.items()}
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values, files = _landing(spark, sf_dir)
-    report, _ = drift_report(values, files, {d: silver_kinds(s) for d, s in DATASETS.items()})
+    report, _ = drift_report(*_landing(spark, sf_dir), _KINDS, _IDENTITY)
     return report.select(F.col("path").alias("landing_path"), "drift_type", "column_name").distinct()
 
 
 def p7_penalties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files of one dataset as one consistent, typed table."""
-    values, files = _landing(spark, sf_dir)
-    kinds = {d: silver_kinds(s) for d, s in DATASETS.items()}
-    _, canon = drift_report(values, files, kinds)
-    return consistent_table(values, files, canon, "penalties", kinds["penalties"])
+    landing, files = _landing(spark, sf_dir)
+    _, canon = drift_report(landing, files, _KINDS, _IDENTITY)
+    return consistent_table(landing, files, canon, "penalties", _KINDS["penalties"])
+
+
+def p7_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of the files could not be read as it stands."""
+    return reading_problems(*_landing(spark, sf_dir)).select(F.col("path").alias("landing_path"), "problem", "rows")
 
 
-QUERIES |= {"p7_found": p7_found, "p7_penalties": p7_penalties}
+QUERIES |= {"p7_found": p7_found, "p7_penalties": p7_penalties, "p7_problems": p7_problems}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,12 +28,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by spark.checkpoint.dir; set one only where none is set (tests)."""
+    """Use the shared folder named by spark.checkpoint.dir; set one only where none is set and all runs on one machine (tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
+    if not named and not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    if not named:
+        import tempfile
+
+        named = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
+    sc.setCheckpointDir(named)
 
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
@@ -43,13 +48,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Hint a broadcast only if the frame is counted to hold at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast only if the frame is measured to hold at most ``max_rows`` rows and ``max_bytes`` bytes of JSON.
 
-    Beyond the bound the frame is returned unhinted, so that the join shuffles.
-    The caller keeps the rows narrow (a few scalar columns).
+    Beyond either bound the frame is returned unhinted, so that the join shuffles.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if seen["n"] <= max_rows and seen["b"] <= max_bytes else df
 
 
 def scratch_dir(spark: SparkSession) -> str:

@@ -42,7 +42,17 @@ def normal(name: str) -> str:
     return re.sub(r"[^a-z0-9]+", "_", name.lower()).strip("_")
 
 
-def drift(records: list[tuple[str, int, str]], as_of: dict[str, object], kinds: dict[str, dict[str, str]]) -> set[tuple[str, str, str]]:
+def spelt(v: str) -> tuple:
+    """Numbers, dates and flags whatever their format."""
+    v = v.strip(" ").lower()
+    if m := re.fullmatch(r"(\d+)[-./](\d+)[-./](\d+)", v):
+        return ("date", *sorted(map(int, m.groups())))
+    if m := re.fullmatch(r"(?:\$|usd )?([\d.,]+)(?: usd)?", v):
+        return ("number", m[1].replace(".", "").replace(",", ""))
+    return ("text", {"y": "1", "n": "0"}.get(v, v))
+
+
+def drift(records: list[tuple[str, int, str]], as_of: dict[str, object], kinds: dict[str, dict[str, str]], identity: dict[str, tuple[str, ...]]) -> set[tuple[str, str, str]]:
     """(path, drift_type, column) of landing records, dataset = second part of the path."""
     by_path: dict[str, list] = defaultdict(list)
     for p, n, r in sorted(records):
@@ -69,12 +79,20 @@ def drift(records: list[tuple[str, int, str]], as_of: dict[str, object], kinds:
         for a, b in zip(paths, paths[1:]):
             new, gone = fields[b] - fields[a], fields[a] - fields[b]
             pairs = []
+            same = [k for k in identity[feed.split("/")[1]] if k in fields[a] & fields[b]]
+            record = lambda r, same=same: tuple(spelt(r.get(k) or "") for k in same)
+            having = lambda p, f, record=record: [(record(r), spelt(r[f])) for r in files[p] if (r.get(f) or "").strip(" ")]
             for n in new:
-                have = Counter(full(b, n))
+                have = having(b, n)
                 for g in gone:
-                    s = sum((have & Counter(full(a, g))).values())
-                    if 2 * s > sum(have.values()):
-                        pairs.append((-s / sum(have.values()), n, g))
+                    had = having(a, g)
+                    linked = [x for x in have if same and x[0] in {k for k, _ in had}]
+                    if 2 * len(linked) > len(have):
+                        score = sum(x in had for x in linked) / len(linked)
+                    else:
+                        score = sum((Counter(v for _, v in have) & Counter(v for _, v in had)).values()) / max(1, len(have))
+                    if 2 * score > 1:
+                        pairs.append((-score, n, g))
             taken: set[str] = set()
             for _, n, g in sorted(pairs):
                 if n not in taken and "-" + g not in taken:
