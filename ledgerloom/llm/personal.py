@@ -2,12 +2,14 @@
 
 Method: one Aho-Corasick automaton finds anchors (at-signs and their spellings, street words, PO boxes, identifier
 cues, titles and other cues of persons); at each anchor a deterministic local parser expands to both sides and
-validates the boundaries. Telephone numbers have no literal anchor; their digit groups are found by one pattern.
-Cues and grammars are general ones of English and Spanish; there is no list of persons or places.
+validates the boundaries. Telephone numbers have no literal anchor; their digit groups are found by patterns.
+Cues and grammars are general ones of English and Spanish. A name without a cue is found by a common given name before
+a surname; there is no list of surnames or places. Time is linear in the length of a text.
 """
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 from collections.abc import Iterator
@@ -43,6 +45,28 @@ _RELATIONS = (
     "aide", "caregiver", "roommate", "resident", "hija", "hijo", "esposa", "esposo", "madre", "padre", "hermana", "hermano", "sobrina", "sobrino", "nieta", "nieto", "tutor", "tutora", "cuidadora", "residente",
 )
 _LABELS = ("signed", "contact", "contacts", "name", "names", "attn", "attention", "patient", "printer", "witness", "firmado", "contacto", "nombre", "firma", "paciente", "by", "from", "listed", "named", "called", "dear", "estimada", "estimado", "regarding")
+# Common given names of English and Spanish, which begin a name without a cue.
+_GIVEN = (
+    "aaron", "adam", "albert", "alejandro", "alexander", "alice", "amanda", "amy", "andrea", "andrew", "angela", "ann", "anna", "anne", "anthony", "antonio", "arthur", "ashley", "barbara", "benjamin",
+    "betty", "beverly", "brandon", "brenda", "brian", "carl", "carlos", "carmen", "carol", "caroline", "carolyn", "catherine", "charles", "cheryl", "christian", "christina", "christine", "christopher", "cynthia", "daniel",
+    "david", "deborah", "debra", "denise", "dennis", "diana", "diane", "diego", "donald", "donna", "doris", "dorothy", "douglas", "edward", "elena", "elizabeth", "emily", "emma", "eric", "ethan",
+    "eugene", "evelyn", "fernando", "frances", "francisco", "frank", "gabriel", "gary", "george", "gerald", "gloria", "gregory", "guadalupe", "hannah", "harold", "heather", "helen", "henry", "isabel", "jack",
+    "jacob", "jacqueline", "james", "jane", "janet", "janice", "jason", "javier", "jean", "jeffrey", "jennifer", "jeremy", "jerry", "jesse", "jessica", "jesús", "joan", "joe", "john", "jonathan",
+    "jorge", "josé", "jose", "joseph", "joshua", "joyce", "juan", "juana", "judith", "judy", "julia", "julie", "justin", "karen", "katherine", "kathleen", "kathryn", "keith", "kelly", "kenneth",
+    "kevin", "kimberly", "larry", "laura", "lauren", "lawrence", "linda", "lisa", "louis", "lucía", "luis", "manuel", "margaret", "maria", "maría", "marie", "marilyn", "mark", "martha", "mary",
+    "matthew", "megan", "melissa", "michael", "michelle", "miguel", "nancy", "nathan", "nicholas", "nicole", "olivia", "pamela", "patricia", "patrick", "paul", "pedro", "peter", "philip", "rachel", "ralph",
+    "raymond", "rebecca", "richard", "robert", "roger", "ronald", "rosa", "russell", "ruth", "ryan", "samuel", "sandra", "sarah", "scott", "sharon", "shirley", "sofia", "stephen", "steven", "susan",
+)
+# Words of places and organisations, which are no surnames and show that the words before them name no person.
+_PLACES = frozenset(
+    """wing room rooms hall unit station floor suite building clinic hospital hospice nursing home homes care center centre rehab rehabilitation manor village villa gardens garden commons house lodge estates
+    residence living health healthcare memorial medical university college school church county city township river lake valley hills heights park bridge airport foundation fund act award day street st avenue ave road rd
+    drive lane ln court boulevard blvd parkway pkwy highway hwy terrace circle plaza square entrance pavilion tower towers ward lounge library chapel store pharmacy company inc llc corp""".split()
+)
+#: Words that name places or streets in front of a given name, and the article before a thing named after a person.
+_BEFORE_PLACE = frozenset("the saint st san santa santo mount mt fort ft port lake camp isla rue calle".split())
+# Particles inside surnames.
+_PARTICLES = frozenset("de del la las los da di do dos du van von der den ter bin al el san y e".split())
 _AFTER = ("moved out", "moved in", "moved to", "has moved", "se mudó")
 
 # Words that end a name or cannot begin one.
@@ -58,18 +82,23 @@ _STOP = frozenset(
 )
 
 _L = r"[^\W\d_]"
-_WORD = rf"{_L}+(?:['’‘]{_L}+)*(?:-{_L}+(?:['’]{_L}+)?)*"
+_WORD = rf"{_L}++(?:['’‘]{_L}++)*+(?:-{_L}++(?:['’]{_L}++)?+)*+"  # possessive, so that long runs are read once
 _TOKEN = re.compile(rf"({_L})\.(?!{_L}{{2}})|{_WORD}")
 _GAP = re.compile(r"[ \t\xa0]+|[ \t]*\n[ \t]*")
 
-_LOCAL = re.compile(r"[A-Za-z0-9À-ɏ](?:[A-Za-z0-9À-ɏ._%+'-]*[A-Za-z0-9À-ɏ_%+-])?\Z")
+_LOCAL_CHARACTER = re.compile(r"[A-Za-z0-9À-ɏ._%+'-]")
+_LOCAL_END = re.compile(r"[A-Za-z0-9À-ɏ_%+-]")
 _DOT = r"(?:\.|[ ]?(?:\(dot\)|\[dot\]|\{dot\})[ ]?|[ ]dot[ ])"
-_DOMAIN = re.compile(rf"[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:{_DOT}[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+", re.I)
+_LABEL = r"[A-Za-z0-9]++(?:-++[A-Za-z0-9]++)*+"
+_DOMAIN = re.compile(rf"{_LABEL}(?:{_DOT}{_LABEL})+", re.I)
 _SPELT_DOT = re.compile(r"(?:\(dot\)|\[dot\]|\{dot\}|[ ]dot[ ])", re.I)
 
 _SEP = r"(?:[ ]?[-–—./‑][ ]?|[ \xa0])?"
 _PHONE = re.compile(rf"(?<![\w+])(?<![\d][-–./])(?:(?:\+1|001|1){_SEP})?(?:\([2-9]\d{{2}}\)|[2-9]\d{{2}}){_SEP}[2-9]\d{{2}}{_SEP}\d{{4}}(?![\w])(?![-–/.]\d)")
 
+#: Numbers of other countries: a prefix with plus sign, then groups of digits.
+_ABROAD = re.compile(r"(?<![\w+])\+[2-9]\d{0,2}(?:[ .\-–/]?(?:\(\d{1,5}\)|\d{1,5})){1,6}(?![\w])(?![-–/.]\d)")
+
 _LABEL_GAP = r"[ \t\n]*"
 _NUMBER_WORD = r"(?:(?:number|numbers|no|nr|num|número|numero|id|card|code)\b\.?|#)"
 _ID_LABEL = {
@@ -94,7 +123,11 @@ _TAIL = re.compile(rf"(?:[ ]?,?[ \n]{_UNIT})?{_CITY}(?:,?[ ](?i:{_STATE})\b\.?,?
 _UNIT_ONLY = re.compile(rf"[ ]?,?[ \n]{_UNIT}", re.I)
 _DIRECTION = r"(?:(?:N|S|E|W|NE|NW|SE|SW|North|South|East|West|Northeast|Northwest|Southeast|Southwest)\.?[ ])"
 #: What stands before a street word: house number, perhaps a direction, up to three words of the street's name.
-_BEFORE_STREET = re.compile(rf"(?<![\w.,:/$#-])(?<!\d[ ])\d{{1,6}}(?:-?[A-Za-z])?(?:[ ]1/2)?[ ]{_DIRECTION}?(?:(?:St|Mt|Ft)\.[ ]|{_WORD}[ ]|\d{{1,3}}(?:st|nd|rd|th)[ ]){{1,3}}\Z", re.I)
+_NUMBER = r"(?<![\w.,:/$#-])(?<!\d[ ])\d{1,6}(?:-?[A-Za-z])?(?:[ ]1/2)?[ ]"
+_BEFORE_STREET = re.compile(rf"{_NUMBER}{_DIRECTION}?(?:(?:St|Mt|Ft)\.[ ]|{_WORD}[ ]|\d{{1,3}}(?:st|nd|rd|th)[ ]){{1,3}}\Z", re.I)
+_CAPITAL = rf"(?:(?:de|del|la|las|los)[ ]|(?:Jr|Sr|St|Mt|Ft|{_L})\.[ ]|(?=[^\W\d_a-zß-öø-ÿ]){_WORD}[ ])"
+#: The same with up to eight words and particles, all others in capitals.
+_LONG_STREET = re.compile(rf"{_NUMBER}(?:[NSEW]{{1,2}}\.?[ ])?({_CAPITAL}{{1,8}})\Z")
 _BEFORE_ROUTE = re.compile(rf"(?<![\w.,$#-])\d{{1,6}}(?:-?[A-Za-z])?[ ]{_DIRECTION}?(?:{_WORD}[ ])?\Z", re.I)
 _ROUTES = frozenset(("county road", "route", "rural route", "state road", "highway", "hwy"))
 
@@ -128,6 +161,8 @@ def _automaton() -> ahocorasick.Automaton:
         add(w, "label")
     for w in _AFTER:
         add(w, "after")
+    for w in _GIVEN:
+        add(w, "given")
     a = ahocorasick.Automaton()
     for w, kinds in found.items():
         a.add_word(w, (w, kinds))
@@ -148,11 +183,12 @@ def _email(text: str, start: int, end: int, anchor: str) -> tuple[int, int] | No
         left -= 1
     if start - left > 1:
         return None
-    lead = left
-    while lead > 0 and (text[lead - 1].isalnum() or text[lead - 1] in "._%+'-") and ord(text[lead - 1]) < 0x250:
-        lead -= 1
-    local = _LOCAL.search(text, lead, left) if lead < left else None
-    if not local:
+    first = left
+    while first > 0 and _LOCAL_CHARACTER.match(text[first - 1]):
+        first -= 1
+    while first < left and text[first] in "._%+'-":
+        first += 1
+    if first == left or not _LOCAL_END.match(text[left - 1]):
         return None
     begin = end
     while begin < len(text) and text[begin] == " " and begin - end < 1:
@@ -162,9 +198,6 @@ def _email(text: str, start: int, end: int, anchor: str) -> tuple[int, int] | No
         return None
     if anchor == " at " and not _SPELT_DOT.search(domain.group()):
         return None
-    first = local.start()
-    while text[first] in "'-.%+":
-        first += 1
     return first, domain.end()
 
 
@@ -187,6 +220,9 @@ def _tail(text: str, at: int) -> int:
     return at
 
 
+_POINT = re.compile(r"\.(?=[ ,]?[ \n]?(?:[#\w]))")
+
+
 def _street(text: str, low: str, start: int, end: int, word: str) -> tuple[int, int] | None:
     if word in _ROUTES:
         head = _BEFORE_ROUTE.search(text, max(0, start - 40), start)
@@ -196,8 +232,10 @@ def _street(text: str, low: str, start: int, end: int, word: str) -> tuple[int,
     else:
         head = _BEFORE_STREET.search(text, max(0, start - 70), start)
     if not head or any(w in _STOP for w in re.findall(_WORD, low[head.start() : start]) if len(w) > 1):
-        return None
-    if text[end : end + 1] == "." and re.match(r"\.(?=[ ,]?[ \n]?(?:[#\w]))", text[end:]) and (_tail(text, end + 1) > end + 1):
+        head = None if word in _ROUTES else _LONG_STREET.search(text, max(0, start - 160), start)
+        if not head or any(w in _STOP and w not in _PARTICLES for w in head[1].lower().replace(".", "").split()):
+            return None
+    if text[end : end + 1] == "." and _POINT.match(text, end) and (_tail(text, end + 1) > end + 1):
         end += 1
     return head.start(), _tail(text, end)
 
@@ -216,8 +254,16 @@ def _box(text: str, start: int, end: int) -> tuple[int, int] | None:
     return (start, _tail(text, m.end())) if m else None
 
 
+_PARTICLE_RUN = re.compile(rf"[ ](?:(?:{'|'.join(sorted(_PARTICLES))})[ ]){{1,3}}(?={_L})", re.I)
+_POSSESSIVE = re.compile("['’]s", re.I)
+
+
 def _tokens(text: str, low: str, at: int, most: int = 4) -> list[tuple[int, int, bool]]:
-    """Tokens of a name from ``at``: (start, end, is_initial), up to a stop word or a change of case."""
+    """Tokens of a name from ``at``: (start, end, is_initial), up to a stop word or a change of case.
+
+    Particles join the words around them where these begin with capitals. Up to three words count, four where all are
+    capitalised but not all in capitals, so that no sentence in one case is taken for a name.
+    """
     out: list[tuple[int, int, bool]] = []
     while len(out) < most:
         m = _TOKEN.match(text, at)
@@ -231,13 +277,19 @@ def _tokens(text: str, low: str, at: int, most: int = 4) -> list[tuple[int, int,
         if full and not initial and text[full[0][0]].isupper() and not text[s].isupper():
             break
         out.append((s, e, initial))
+        if text[s].isupper() and (p := _PARTICLE_RUN.match(text, e)):
+            if text[p.end()].isupper() and (w := _TOKEN.match(text, p.end())) and low[w.start() : w.end()] not in _STOP:
+                out[-1] = (s, w.end(), False)
+                e = w.end()
         gap = _GAP.match(text, e)
         if not gap or "\n" in gap.group() and not (out and out[-1][2]):
             break
         at = gap.end()
     while out and out[-1][2]:  # a name does not end with an initial
         out.pop()
-    if sum(not t[2] for t in out) > 3:
+    if out and out[-1][1] - out[-1][0] > 3 and _POSSESSIVE.match(text, out[-1][1] - 2):
+        out[-1] = (out[-1][0], out[-1][1] - 2, False)
+    if sum(not t[2] for t in out) > 3 and not all(text[s].isupper() and (e - s == 1 or not text[s:e].isupper()) for s, e, _ in out):
         out = out[:3]
     return out
 
@@ -289,10 +341,33 @@ def _after_cue(text: str, low: str, end: int, kind: str) -> tuple[int, int] | No
 _BEFORE_AFTER = re.compile(rf"(?<![\w'’.-])(?:{_WORD},[ ]{_WORD}(?:[ ]{_L}\.)?|(?:{_WORD}|{_L}\.)(?:[ ]{_L}\.)?[ ]{_WORD})[ ]\Z")
 
 
+_NEXT = re.compile(rf"(?:(?<=Jr)\.|(?<=Sr)\.)?(?:[ ](?:Jr|Sr|II|III)\b\.?)?((?:[ ](?=[^\W\d_a-zß-öø-ÿ]){_WORD}){{1,3}})")
+
+
 def _plausible(text: str, span: tuple[int, int]) -> bool:
-    """A name has words, and none of them is a stop word."""
+    """A name has words, none of them is a stop word, and no word of a place follows in capitals."""
     words = re.findall(_WORD, text[span[0] : span[1]])
-    return bool(words) and all(w.lower() not in _STOP for w in words if len(w) > 1)
+    if not words or any(w.lower() in _STOP for w in words if len(w) > 1 and w.lower() not in _PARTICLES):
+        return False
+    after = None if text[span[0] : span[1]].isupper() else _NEXT.match(text, span[1])
+    return not (after and any(w.lower() in _PLACES for w in after[1].split()))
+
+
+_NAME_BEFORE = re.compile(rf"({_WORD})\.?[ ]\Z")
+
+
+def _after_given(text: str, low: str, start: int, end: int) -> tuple[int, int] | None:
+    """A common given name in capitals with the surname that follows it: 'John Smith', 'Maria J. Lopez de Soto'."""
+    if not text[start].isupper() or text[start:end].isupper():
+        return None
+    before = _NAME_BEFORE.search(text, max(0, start - 40), start)
+    if before and (before[1].lower() in _BEFORE_PLACE or (before[1][0].isupper() and before[1].lower() in _PLACES)):
+        return None
+    toks = _tokens(text, low, start)
+    full = [low[s:e] for s, e, initial in toks if not initial]
+    if len(full) < 2 or any(w in _PLACES for w in full) or not all(text[s].isupper() for s, _, _ in toks):
+        return None
+    return toks[0][0], toks[-1][1]
 
 
 def find(text: str | None) -> list[tuple[str, int, int]]:
@@ -304,6 +379,9 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
     n = len(text)
     for m in _PHONE.finditer(text):
         hits.add((m.start(), m.end(), PHONE))
+    for m in _ABROAD.finditer(text):
+        if 8 <= sum(c.isdigit() for c in m.group()) <= 15:
+            hits.add((m.start(), m.end(), PHONE))
     for last, (word, kinds) in _automaton().iter(low):
         end = last + 1
         start = end - len(word)
@@ -323,6 +401,8 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 span, label = _leading(text, start, end), ADDRESS
             elif kind == "box":
                 span, label = _box(text, start, end), ADDRESS
+            elif kind == "given":
+                span = _after_given(text, low, start, end)
             elif kind == "after":
                 if m := _BEFORE_AFTER.search(text, max(0, start - 60), start):
                     span = (m.start(), m.end() - 1)
@@ -330,13 +410,14 @@ def find(text: str | None) -> list[tuple[str, int, int]]:
                 span = _after_cue(text, low, end, kind)
             if span and (label != NAME or _plausible(text, span)):
                 hits.add((*span, label))
-    chosen: list[tuple[int, int, str]] = []
-    taken: list[tuple[int, int]] = []
+    starts: list[int] = []  # of the occurrences taken so far, in order
+    taken: list[tuple[int, int, str]] = []
     for s, e, label in sorted(hits, key=lambda h: (_RANK[h[2]], -(h[1] - h[0]), h[0])):
-        if all(e <= a or s >= b for a, b in taken):
-            taken.append((s, e))
-            chosen.append((s, e, label))
-    return [(label, s, e) for s, e, label in sorted(chosen)]
+        k = bisect.bisect_right(starts, s)
+        if (k == 0 or taken[k - 1][1] <= s) and (k == len(taken) or taken[k][0] >= e):
+            starts.insert(k, s)
+            taken.insert(k, (s, e, label))
+    return [(label, s, e) for s, e, label in taken]
 
 
 def redact(text: str | None) -> str | None:
