@@ -5,11 +5,13 @@ joined by re-encoding a window around their boundary that grows until the tokens
 Decoding concatenates up the same tree.
 
 Why the tokens outside a window are stable: the byte-level vocabularies split a text into pieces by a pattern before
-any merge, and no piece has a white-space character directly after another kind of character. So each place where a
-character that is no white space is followed by white space is a boundary of pieces in every text that contains it.
-The pattern looks ahead only behind white space and never behind its start, hence the ids of a text are the ids up to
-such a place followed by the ids from there on. A window that begins and ends at such places (or at the ends of the
-text) can be exchanged without touching the ids outside. A text without such places is re-encoded as a whole.
+any merge. No piece has a white-space character directly after another kind of character, and none joins letters,
+numbers and other characters but the contractions, which begin with an apostrophe. So each place where white space
+follows something else, or where one of these kinds follows another (other than a letter after an apostrophe), is a
+boundary of pieces in every text that contains it. The pattern looks ahead only behind white space and never behind its
+start, hence the ids of a text are the ids up to such a place followed by the ids from there on. A window that begins
+and ends at such places (or at the ends of the text) can be exchanged without touching the ids outside. A text without
+such places, one run of letters, say, is re-encoded as a whole.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import base64
 import functools
 import os
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,20 +54,31 @@ def load_tokenizer(name: str = DEFAULT, folder: str = TOKENIZER_DIR) -> Tokenize
     return Tokenizer(tiktoken.Encoding(name, pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={}), lengths)
 
 
+@functools.lru_cache(maxsize=1 << 17)
+def _kind(c: str) -> str:
+    """' ' for white space, L, N or O for letters, numbers and other visible characters, '' where engines may differ."""
+    if c in _SPACE:
+        return " "
+    major = unicodedata.category(c)[0]
+    return major if major in "LN" else "O" if major in "PS" else ""
+
+
+def is_boundary(text: str, i: int) -> bool:
+    """Whether pieces certainly end before text[i], 0 < i < len(text)."""
+    a, b = _kind(text[i - 1]), _kind(text[i])
+    if a == " " or not a or not b:
+        return b == " " and a != " "
+    return a != b and not (b == "L" and text[i - 1] == "'")
+
+
 def boundary_before(text: str, at: int, least: int) -> int | None:
     """The last certain boundary of pieces in [least, at), or None."""
-    for i in range(at - 1, max(least, 1) - 1, -1):
-        if text[i] in _SPACE and text[i - 1] not in _SPACE:
-            return i
-    return None
+    return next((i for i in range(at - 1, max(least, 1) - 1, -1) if is_boundary(text, i)), None)
 
 
 def boundary_after(text: str, at: int, most: int) -> int | None:
     """The first certain boundary of pieces in (at, most], or None."""
-    for i in range(at + 1, min(most, len(text) - 1) + 1):
-        if text[i] in _SPACE and text[i - 1] not in _SPACE:
-            return i
-    return None
+    return next((i for i in range(at + 1, min(most, len(text) - 1) + 1) if is_boundary(text, i)), None)
 
 
 def join_ids(tok: Tokenizer, text: str, lo: int, mid: int, hi: int, left: np.ndarray, right: np.ndarray, window: int = 32) -> np.ndarray:
@@ -176,3 +190,17 @@ def token_counts(df: DataFrame, key: str, text: str, tokenizer: str = DEFAULT, f
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=[key, "n_tokens"])
 
     return narrow.mapInArrow(work, f"`{key}` {kind}, n_tokens bigint")
+
+
+def decode(df: DataFrame, key: str, ids: str, tokenizer: str = DEFAULT, folder: str = TOKENIZER_DIR) -> DataFrame:
+    """(key, text): the texts of the rows' ids; an empty list is an empty text, null ids are a null text. Undoes ``encode``."""
+    narrow = df.select(F.col(key).alias("key"), F.col(ids).alias("ids"))
+    kind = narrow.schema["key"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok = load_tokenizer(tokenizer, folder)
+        for batch in batches:
+            texts = [None if x is None else decode_tree(tok, x) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
+
+    return narrow.mapInArrow(work, f"`{key}` {kind}, text string")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.encoding import TOKENIZER_DIR, boundary_after, boundary_before, decode_tree, encode, encode_tree, join_ids, load_tokenizer, token_counts
+from ledgerloom.llm.encoding import TOKENIZER_DIR, boundary_after, boundary_before, decode, decode_tree, encode, encode_tree, is_boundary, join_ids, load_tokenizer, token_counts
 
 pytestmark = pytest.mark.skipif(not os.path.exists(f"{TOKENIZER_DIR}/byte_bpe_50k.tiktoken"), reason="no tokenizer files")
 PIECES = ["word", " ", "  ", "\n", "\t\n ", "don't", "'ll", "123", " 4567", "é", "…", "你好", "🙂👍🏽", "a​b", "　", "\xa0", "!!", " ?", "İ", "<|endoftext|>", "x" * 40, "\r\n", "\x0b\x0c", " "]
@@ -65,3 +65,18 @@ def test_another_vocabulary():
     tok = load_tokenizer("byte_bpe_multi_50k")
     for text in texts(60, 4):
         assert list(encode_tree(tok, text, 8)) == tok.encoding.encode_ordinary(text)
+
+
+def test_decoding_gives_back_every_text(spark):
+    rows = [(1, "a b"), (2, ""), (3, None), (3, None), (None, "é " * 9000), (5, "護理" * 5000 + "，1a'll")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("ids", F.lit("clash"))
+    back = decode(encode(df, "doc_id", "text"), "doc_id", "ids")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+    assert decode(encode(df.limit(0), "doc_id", "text"), "doc_id", "ids").count() == 0
+
+
+def test_boundaries_in_texts_without_white_space():
+    tok = load_tokenizer()
+    for text in ("護理人員，檢查" * 3000, "0af3b9c2d1" * 3000, "it's'll'1''d" * 2000, "x" * 5000):
+        assert list(encode_tree(tok, text, 64)) == tok.encoding.encode_ordinary(text)
+    assert [i for i in range(1, 9) if is_boundary("ab12,c'd ", i)] == [2, 4, 5, 6, 8]
