@@ -99,10 +99,19 @@ def pack(sizes: DataFrame, item: str, size: str, windows: list[tuple[int, int]],
     offers = F.array(*(F.struct(F.lit(w).cast("int").alias("window_id"), F.lit(c).cast("int").alias("capacity")) for w, c in windows))
     rows = sizes.select(F.col(item).alias("item"), n.alias("size"), F.pmod(F.xxhash64(item), F.lit(shards)).cast("bigint").alias("shard"), F.explode(offers).alias("w"))
     flat = rows.select("w.window_id", "w.capacity", "shard", "item", "size")
-    ordered = flat.repartition("window_id", "shard").sortWithinPartitions("window_id", "shard", F.desc(F.col("size") % F.col("capacity")), "item", "size")
+    # a number of its own: partitions are few bytes but much work, so they must not be coalesced by size
+    ordered = flat.repartition(min(2 * shards * max(1, len(windows)), 20_000), "window_id", "shard").sortWithinPartitions("window_id", "shard", F.desc(F.col("size") % F.col("capacity")), "item", "size")
     ddl = _OUT.format(kind=kind)
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     schema = to_arrow_schema(_parse_datatype_string(ddl))
     return ordered.mapInArrow(lambda it: pack_stream(it, schema), ddl).withColumnRenamed("item", item)
+
+
+def fill(bins: DataFrame, windows: list[tuple[int, int]]) -> DataFrame:
+    """(window_id, bins, n_tokens, fill): how many bins each window size took, and the share of their room that is used."""
+    capacity = F.element_at(F.create_map(*(F.lit(x) for w in windows for x in w)), F.col("window_id"))
+    per_bin = bins.groupBy("window_id", "bin_id").agg(F.sum("n_tokens").alias("used"))
+    total = per_bin.groupBy("window_id").agg(F.count(F.lit(1)).alias("bins"), F.sum("used").alias("n_tokens"))
+    return total.select("window_id", "bins", "n_tokens", (F.col("n_tokens") / (F.col("bins") * capacity)).alias("fill"))

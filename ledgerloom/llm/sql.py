@@ -1,3 +1,3 @@
-"""SQL of the text problems, where SQL can express them."""
+"""SQL of the text problems' queries, where SQL can express them: decoding the ids must give back every text."""
 
-SQL: dict[str, str] = {}
+SQL = {"p8_decoded": "SELECT doc_id, text FROM documents"}

@@ -4,7 +4,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.packing import SumOfSquares, pack
+from ledgerloom.llm.packing import SumOfSquares, fill, pack
 
 
 def naive(capacity, sizes):
@@ -83,3 +83,9 @@ def test_little_room_is_wasted(spark):
 def test_repeated_items_are_placed_each(spark):
     got = pack(spark.createDataFrame([(1, 5)] * 7, SIZES), "doc_id", "n", [(1, 10)], 7).collect()
     assert len(got) == 7 and len({r["bin_id"] for r in got}) == 4
+
+
+def test_fill_counts_bins_and_room(spark):
+    bins = pack(spark.createDataFrame([(1, 5), (2, 5), (3, 4), (4, 0)], SIZES), "doc_id", "n", [(1, 10), (2, 5)], 4)
+    got = {r["window_id"]: (r["bins"], r["n_tokens"], round(r["fill"], 3)) for r in fill(bins, [(1, 10), (2, 5)]).collect()}
+    assert got == {1: (2, 14, 0.7), 2: (3, 14, 0.933)}
