@@ -1,15 +1,18 @@
 """Rows that fail to parse: bulk block parsing with bisection down to the bad records.
 
-Method: the records of an Arrow batch are parsed as whole blocks on a fast path (CSV: a columnar grammar test and one
-columnar parse; JSON: one parse of the block as an array). A block that fails is bisected until the bad records stand
-alone; those, and only those, go through a strict single-record parser that names the violation.
+Method: blocks of records are parsed as wholes on a fast path (csv: one match of the block's joined text, then one
+columnar parse of all blocks that passed; JSON: one parse of the block as an array). A block that fails is bisected
+until the bad records stand alone; those, and only those, go through a strict single-record parser that names the
+violation. Whether a block passes is a property of its records, so results do not depend on how they are cut.
 """
 
 from __future__ import annotations
 
+import functools
 import io
 import json
 import re
+import secrets
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,10 +24,16 @@ from pyspark.sql import functions as F
 
 QUOTING, COLUMN_COUNT, JSON = "QUOTING", "COLUMN_COUNT", "JSON"
 UNKNOWN_DATASET, UNKNOWN_FORMAT = "UNKNOWN_DATASET", "UNKNOWN_FORMAT"
-#: A record of comma-separated fields; quotes only around whole fields, doubled inside; line breaks only inside quotes.
-_FIELD = r'(?:[^",\r\n]*|"(?:[^"]|"")*")'
-CSV_GRAMMAR = rf"\A{_FIELD}(?:,{_FIELD})*\z"
-_SEPARATOR = "\u0002record\u0003"
+#: Separates the records of a joined csv block. No field may contain it there; a record that does is parsed alone.
+_BETWEEN = "\x1e"
+
+
+@functools.lru_cache(maxsize=64)
+def csv_grammar(width: int) -> re.Pattern:
+    """A block of records of ``width`` fields, each record followed by the separator: quotes only around whole fields,
+    doubled inside; line breaks only inside quotes. Possessive: nothing is read twice."""
+    field = rf'(?:"[^"{_BETWEEN}]*+(?:""[^"{_BETWEEN}]*+)*+"|[^",\r\n{_BETWEEN}]*+)'
+    return re.compile(rf"(?:{field}(?:,{field}){{{width - 1}}}{_BETWEEN})*+")
 
 
 def strict_csv(record: str) -> list[str] | None:
@@ -91,45 +100,50 @@ def _texts(values: list[str | None]) -> pa.Array:
         return pa.array([v and re.sub("[\ud800-\udfff]", "\ufffd", v) for v in values], pa.string())
 
 
-def csv_block(records: list[str], width: int) -> list[pa.Array] | None:
-    """Columns of a block of records that obey the grammar, or None if any has another number of fields."""
-    if "" in records:  # an empty line has one field, but the reader takes it for a row of nothing
-        return [pa.array([""] * len(records))] if width == 1 and not any(records) else None
-    data = "\n".join(records).encode()
+def csv_passes(records: list[str], width: int) -> bool:
+    """Whether each record of the block obeys the grammar with ``width`` fields.
+
+    The separator stands only between records and is part of no field, so a match proves each record on its own.
+    """
+    text = _BETWEEN.join(records) + _BETWEEN
+    return text.count(_BETWEEN) == len(records) and csv_grammar(width).fullmatch(text) is not None
+
+
+def csv_columns(records: list[str], width: int) -> list[pa.Array] | None:
+    """Columns of records that obey the grammar, or None if the columnar reader refuses them."""
+    if width == 1:  # the reader takes an empty line for no row
+        return [pa.array([r[1:-1].replace('""', '"') if r[:1] == '"' else r for r in records], pa.string())]
     names = [f"f{k}" for k in range(width)]
+    data = "\n".join([",".join(names), *records]).encode()  # the header keeps the reader from taking off a record's byte-order mark
     try:
         t = pacsv.read_csv(
             io.BytesIO(data),
-            read_options=pacsv.ReadOptions(use_threads=False, block_size=len(data) + 64, column_names=names),
+            read_options=pacsv.ReadOptions(use_threads=False, block_size=len(data) + 64),
             parse_options=pacsv.ParseOptions(newlines_in_values=True, ignore_empty_lines=False),
             convert_options=pacsv.ConvertOptions(column_types={n: pa.string() for n in names}, strings_can_be_null=False),
         )
     except pa.ArrowInvalid:
         return None
-    return [c.combine_chunks() for c in t.columns] if t.num_rows == len(records) else None
+    return [c.combine_chunks() for c in t.columns] if t.num_rows == len(records) and t.num_columns == width else None
 
 
 def json_block(records: list[str]) -> list[dict] | None:
     """The objects of a block, or None if any record is not exactly one object.
 
-    The records are parsed as one array with a separator between them. The separator occurs only between records, so
-    finding it at every second place of the array proves that each record is one value of its own.
+    The records are parsed as one array with a separator between them that is drawn anew for each parse. No record can
+    spell it, so finding it at every second place of the array proves that each record is one value of its own.
     """
-    if any(_SEPARATOR in r for r in records):
-        return None
+    separator = secrets.token_hex(16)
     try:
-        values = _loads("[" + f',"{_SEPARATOR_JSON}",'.join(records) + "]")
+        values = _loads("[" + f',"{separator}",'.join(records) + "]")
     except (ValueError, RecursionError):
         return None
     objects = values[::2]
-    if len(values) != 2 * len(records) - 1 or any(v != _SEPARATOR for v in values[1::2]) or any(type(o) is not dict for o in objects):
+    if len(values) != 2 * len(records) - 1 or any(v != separator for v in values[1::2]) or any(type(o) is not dict for o in objects):
         return None
     return objects
 
 
-_SEPARATOR_JSON = json.dumps(_SEPARATOR)[1:-1]
-
-
 def _rows(columns: list[pa.Array], n: int) -> pa.ListArray:
     """Columns to one list per row, without a Python loop over rows."""
     k = len(columns)
@@ -152,12 +166,11 @@ def _bisect(lo: int, hi: int, passes: Callable[[int, int], bool], alone: Callabl
 def parse_group(records: pa.Array, fmt: str, layout: list[str], block: int) -> tuple[list[str | None], pa.ListArray]:
     """Structure error (or None) and fields of each record of one format and layout; fields of bad records are null.
 
-    csv: a block passes if its records obey the grammar, tested column-wise, and its columnar parse finds ``width``
-    fields in each. JSON: the block's parse is its test.
+    A csv block passes if its joined text obeys the grammar; all passing blocks are then parsed at once by columns, and
+    halved if the columnar reader refuses them. A JSON block's parse is its test.
     """
     n, width = len(records), len(layout)
-    filled = records.fill_null("")
-    texts = filled.to_pylist()
+    texts = records.fill_null("").to_pylist()
     errors: list[str | None] = [None] * n
     kind = pa.list_(pa.string())
     places: list[np.ndarray] = []
@@ -184,16 +197,19 @@ def parse_group(records: pa.Array, fmt: str, layout: list[str], block: int) -> t
 
     if fmt == "csv":
 
-        def sound(a: int, b: int) -> bool:
-            obeys = pc.all(pc.match_substring_regex(filled.slice(a, b - a), CSV_GRAMMAR)).as_py()
-            columns = csv_block(texts[a:b], width) if obeys else None
+        def columnar(at: np.ndarray) -> None:
+            columns = csv_columns([texts[i] for i in at], width)
             if columns is not None:
-                keep(np.arange(a, b), _rows(columns, b - a))
-            return columns is not None
+                keep(at, _rows(columns, len(at)))
+            elif len(at) == 1:
+                alone(int(at[0]))
+            else:
+                columnar(at[: len(at) // 2])
+                columnar(at[len(at) // 2 :])
 
-        for lo in range(0, n, block):
-            for _ in _bisect(lo, min(n, lo + block), sound, alone):
-                pass  # kept by its test
+        passed = [p for lo in range(0, n, block) for p in _bisect(lo, min(n, lo + block), lambda a, b: csv_passes(texts[a:b], width), alone)]
+        if passed:
+            columnar(np.concatenate([np.arange(a, b) for a, b in passed]))
     elif fmt == "json":
         parsed: dict[tuple[int, int], list[dict]] = {}
 
@@ -242,7 +258,7 @@ def parse_batches(batches: Iterator[pa.RecordBatch], layouts: dict[str, list[str
         yield pa.RecordBatch.from_arrays([*batch.columns[:keep], batch.column(keep), pa.array(errors.tolist(), pa.string()), fields], schema=schema)
 
 
-def parse_records(df: DataFrame, keep: list[str], dataset: str, record_format: str, record: str, layouts: dict[str, list[str]], block: int = 32) -> DataFrame:
+def parse_records(df: DataFrame, keep: list[str], dataset: str, record_format: str, record: str, layouts: dict[str, list[str]], block: int = 64) -> DataFrame:
     """``keep`` columns, dataset, ``structure`` (null, QUOTING, COLUMN_COUNT, JSON, UNKNOWN_DATASET or UNKNOWN_FORMAT) and ``fields`` (array in layout order).
 
     One input row is one record. A null record counts as an empty text: COLUMN_COUNT for csv, JSON for json. Records

@@ -52,14 +52,42 @@ def test_a_failing_csv_block_is_bisected_by_its_parses(monkeypatch):
     from ledgerloom.operators import record_parser
 
     parsed, strict = [], []
-    block, alone = record_parser.csv_block, record_parser.strict_csv
-    monkeypatch.setattr(record_parser, "csv_block", lambda records, width: parsed.append(len(records)) or block(records, width))
+    block, alone = record_parser.csv_passes, record_parser.strict_csv
+    monkeypatch.setattr(record_parser, "csv_passes", lambda records, width: parsed.append(len(records)) or block(records, width))
     monkeypatch.setattr(record_parser, "strict_csv", lambda record: strict.append(record) or alone(record))
     errors, _ = parse_group(pa.array(["a,b"] * 11 + ["a"] + ["a,b"] * 20), "csv", ["x", "y"], 16)
     assert [i for i, e in enumerate(errors) if e] == [11] and errors[11] == COLUMN_COUNT
     assert parsed == [16, 8, 8, 4, 2, 2, 1, 1, 4, 16] and strict == ["a"]
 
 
+def test_what_the_columnar_reader_refuses_is_halved(monkeypatch):
+    from ledgerloom.operators import record_parser
+
+    read = []
+    reader = record_parser.csv_columns
+    monkeypatch.setattr(record_parser, "csv_columns", lambda records, width: read.append(len(records)) or (None if "x,y" in records else reader(records, width)))
+    errors, fields = parse_group(pa.array(["a,b"] * 5 + ["x,y"] + ["a,b"] * 2), "csv", ["x", "y"], 16)
+    assert errors == [None] * 8 and fields.to_pylist()[5] == ["x", "y"] and read == [8, 4, 4, 2, 1, 1, 2]
+
+
+def test_separators_and_byte_order_marks_inside_records(spark):
+    texts = ["\ufeffa,b", "a\x1eb,c", '"a\x1e",b', "a,b\x1e", "\ufeffa,b", '"\r\n",""', "a\r,b", "a,b"]
+    for block in (1, 2, 64):
+        errors, fields = parse_group(pa.array(texts), "csv", ["x", "y"], block)
+        for text, error, got in zip(texts, errors, fields.to_pylist()):
+            assert got == strict_csv(text) and (error is None) == (got is not None), text
+    forged = ['{"a":1},"\\u0002record\\u0003",{"b":2}', '{"b":["x"', '"y"]}', '{"a":"x}', '{y"}', "{},{}"]
+    errors, _ = parse_group(pa.array(forged), "json", ["a", "b"], 64)
+    assert errors == [JSON] * 6
+    rows = [(i, "p", "csv" if i % 2 else "json", t) for i, t in enumerate([t for pair in zip(forged, texts) for t in pair])]
+    df = spark.createDataFrame(rows, "id int, dataset string, fmt string, rec string").repartition(1)
+    seen = []
+    for n in ("1", "4", "1000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", n)
+        seen.append(sorted(map(str, parse_records(df, ["id"], "dataset", "fmt", "rec", {"p": ["x", "y"]}).collect())))
+    assert seen[0] == seen[1] == seen[2]
+
+
 def test_json_blocks_equal_the_strict_parser():
     rng = random.Random(2)
     value = lambda: rng.choice(["x", 'q"', None, 3, 2.50, True, {"n": [1]}, ""])
