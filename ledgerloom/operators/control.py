@@ -13,6 +13,7 @@ LOAD_TYPES = ("full", "incremental")
 STATUSES = ("SUCCESS", "SKIPPED_ALREADY_ACQUIRED", "FAILURE", "QUARANTINED_PARTIAL")
 ACQUIRED = ("SUCCESS", "SKIPPED_ALREADY_ACQUIRED")
 SILVER_TERMINAL = ("SUCCESS", "QUARANTINED_PARTIAL")
+SNAPSHOTS = ("bulk_snapshot", "snapshot_diff")
 PAGE_ROWS = 500
 
 
@@ -63,12 +64,13 @@ def silver_work(manifest: DataFrame, logs: DataFrame, dataset: str | None = None
     return ready if reprocess else ready.join(succeeded(logs, "Bronze-to-Silver", SILVER_TERMINAL), ["dataset", "batch_id"], "left_anti")
 
 
-def reconcile_runs(manifest: DataFrame, logs: DataFrame) -> DataFrame:
+def reconcile_runs(manifest: DataFrame, logs: DataFrame, bronze_run: str | None = None) -> DataFrame:
     """One row per acquisition run: (dataset, acquisition_run_id, complete, expected_rows, parsed_rows, watermark_value,
-    problem). All runs are judged in one aggregation; the first failing test names the problem.
+    problem). All runs are judged in one aggregation; the first failing test names the problem. ``bronze_run`` accepts
+    only the Bronze logs of that run.
     """
     items = latest(manifest.filter(F.col("status").isin(*ACQUIRED)), ["acquisition_run_id", "dataset", "batch_id", "landing_path"], [F.desc("load_timestamp")])
-    done = succeeded(logs, "Raw-to-Bronze").withColumn("_done", F.lit(1))
+    done = succeeded(logs, "Raw-to-Bronze", run_id=bronze_run).withColumn("_done", F.lit(1))
     joined = items.join(done, ["dataset", "batch_id"], "left")
     paged = F.col("acquisition_strategy") == "api_date_window"
     runs = joined.groupBy("dataset", "acquisition_run_id").agg(
@@ -95,24 +97,39 @@ def reconcile_runs(manifest: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def complete_windows(manifest: DataFrame, logs: DataFrame) -> DataFrame:
-    """Runs of date windows whose pages are complete: (dataset, window_start, window_end, acquisition_run_id,
-    bronze_complete), the newest run per window. ``bronze_complete`` false means pending."""
-    rows = manifest.filter(F.col("acquisition_strategy") == "api_date_window")
+    """Runs of incremental date windows whose pages are complete: (dataset, window_start, window_end, acquisition_run_id,
+    paths, bronze_complete), the newest run per window. ``bronze_complete`` false means pending.
+
+    ``paths`` are the pages of the run, for ``with_files`` to test that they are still there.
+    """
+    rows = manifest.filter((F.col("acquisition_strategy") == "api_date_window") & (F.col("load_type") == "incremental"))
     done = succeeded(logs, "Raw-to-Bronze").withColumn("_done", F.lit(1))
     runs = rows.join(done, ["dataset", "batch_id"], "left").groupBy("dataset", "window_start", "window_end", "acquisition_run_id").agg(
         F.countDistinct("expected_run_rows").alias("kinds"), F.max("expected_run_rows").alias("expected"), F.sum("source_rows").alias("got"),
         F.count_if(F.col("source_rows").isNull() | ~F.col("status").isin(*ACQUIRED)).alias("broken"), F.count(F.lit(1)).alias("n"),
         F.countDistinct("page_offset").alias("offsets"), F.min("page_offset").alias("lo"), F.max("page_offset").alias("hi"),
-        F.count_if(F.col("_done").isNull()).alias("open"), F.max("load_timestamp").alias("at"),
+        F.count_if(F.col("_done").isNull()).alias("open"), F.max("load_timestamp").alias("at"), F.sort_array(F.collect_set("landing_path")).alias("paths"),
     )
     whole = runs.filter("kinds = 1 AND broken = 0 AND got = expected AND offsets = n AND lo = 0").filter(F.col("hi") == (F.col("n") - 1) * PAGE_ROWS)
     newest = latest(whole.filter(F.col("window_start").isNotNull() | F.col("window_end").isNotNull()), ["dataset", "window_start", "window_end"], [F.desc("at"), F.desc("acquisition_run_id")])
-    return newest.select("dataset", "window_start", "window_end", "acquisition_run_id", (F.col("open") == 0).alias("bronze_complete"))
+    return newest.select("dataset", "window_start", "window_end", "acquisition_run_id", "paths", (F.col("open") == 0).alias("bronze_complete"))
+
+
+def with_files(windows: DataFrame, listing: DataFrame) -> DataFrame:
+    """Windows all of whose pages are in ``listing`` (path), the files of the landing folder as ``landed_files`` lists them."""
+    pages = windows.select("dataset", "acquisition_run_id", "window_start", "window_end", F.explode("paths").alias("path"))
+    lost = pages.join(listing.select("path").distinct(), "path", "left_anti").select("dataset", "acquisition_run_id").distinct()
+    return windows.join(lost, ["dataset", "acquisition_run_id"], "left_anti")
+
+
+def pending_windows(windows: DataFrame, watermarks: DataFrame) -> DataFrame:
+    """Complete windows that end after the committed watermark of their dataset and have not fully reached Bronze."""
+    return windows.join(current_watermark(watermarks), "dataset").filter((F.col("window_end") > F.col("watermark_value")) & ~F.col("bronze_complete")).drop("watermark_value")
 
 
 def newest_snapshot(manifest: DataFrame, logs: DataFrame) -> DataFrame:
     """Per dataset the newest validated snapshot whose batch reached Bronze."""
-    good = manifest.filter(F.col("status").isin(*ACQUIRED) & F.col("row_count_validated") & F.col("acquisition_strategy").isin("bulk_snapshot", "snapshot_diff"))
+    good = manifest.filter(F.col("status").isin(*ACQUIRED) & F.col("row_count_validated") & F.col("acquisition_strategy").isin(*SNAPSHOTS))
     ready = good.join(succeeded(logs, "Raw-to-Bronze"), ["dataset", "batch_id"], "left_semi")
     return latest(ready, ["dataset"], [F.desc("as_of_date"), F.desc("load_timestamp")])
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.control import ACQUIRED, SNAPSHOTS, latest, newest_snapshot
+
 INSERT, UPDATE, STALE, KEEP, MISSING, DELETE = "INSERT", "UPDATE", "STALE", "KEEP", "MISSING", "DELETE_SOFT"
 
 
@@ -67,32 +68,33 @@ def advance_watermarks(target: DataFrame, source: DataFrame, key: str, value: st
     return tagged.groupBy(key).agg(F.max_by(F.struct(*target.columns), F.struct(value, "_side")).alias("r")).select("r.*")
 
 
-@dataclass(frozen=True)
-class SnapshotFacts:
-    strategy: str
-    status: str
-    validated: bool
-    files: int
-    expected_rows: int | None
-    source_rows: int | None
-
-
-def soft_delete_refusals(facts: SnapshotFacts, enabled: bool, partial_scope: bool, quarantined: int, newest: bool, until: object | None) -> list[str]:
-    """Every reason that forbids a soft deletion; none means that it may run."""
-    f = facts
-    counts_known = f.expected_rows is not None and f.source_rows is not None
-    tests = [
-        (not enabled, "soft deletion is not enabled"),
-        (partial_scope, "a subset, backfill or reprocessing run may not delete"),
-        (f.strategy not in ("bulk_snapshot", "snapshot_diff"), "the delivery is no complete snapshot"),
-        (f.status not in ("SUCCESS", "SKIPPED_ALREADY_ACQUIRED"), "the manifest status is no success"),
-        (not f.validated, "the row count is not validated"),
-        (f.files != 1, "the snapshot is not exactly one file"),
-        (not counts_known, "row counts are not known"),
-        (counts_known and f.expected_rows != f.source_rows, "row counts do not reconcile"),
-        (counts_known and f.expected_rows == f.source_rows and f.source_rows <= 0, "the snapshot is empty"),
-        (quarantined > 0, "the snapshot has quarantined or conflicting rows"),
-        (not newest, "the snapshot is not the newest validated one"),
-        (until is None, "the snapshot has no processing date to bound the deletion"),
-    ]
-    return [why for broken, why in tests if broken]
+#: Reasons that forbid a soft deletion, as ``deletion_blockers`` and ``call_blockers`` name them.
+BLOCKERS = (
+    "NOT_ENABLED", "PARTIAL_SCOPE", "UNDATED", "NO_SNAPSHOT", "NOT_ACQUIRED", "NOT_VALIDATED", "NOT_ONE_FILE", "COUNTS_UNKNOWN", "COUNTS_DIFFER", "EMPTY", "QUARANTINED_ROWS", "NOT_NEWEST",
+)
+
+
+def deletion_blockers(manifest: DataFrame, logs: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """(dataset, batch_id, blockers) for each batch of the manifest: what in the control tables forbids deletions by it.
+
+    Everything is derived here, for all batches in one plan: the batch's newest manifest row, the acquired files of its
+    run, the newest validated snapshot of its dataset and its rows in the Silver quarantine. An empty list permits it.
+    """
+    mine = ["dataset", "batch_id"]
+    batches = latest(manifest, mine, [F.desc("load_timestamp"), F.desc("acquisition_run_id"), F.desc("landing_path")])
+    files = manifest.filter(F.col("status").isin(*ACQUIRED)).groupBy("dataset", "acquisition_run_id").agg(F.countDistinct("batch_id").alias("_files"))
+    newest = newest_snapshot(manifest, logs).select(*mine, F.lit(True).alias("_newest"))
+    held = quarantine.groupBy("dataset", F.col("source_batch_id").alias("batch_id")).agg(F.count(F.lit(1)).alias("_held"))
+    known = batches.join(files, ["dataset", "acquisition_run_id"], "left").join(newest, mine, "left").join(held, mine, "left")
+    want, got = F.col("expected_run_rows"), F.col("source_rows")
+    broken = {
+        "NO_SNAPSHOT": ~F.coalesce(F.col("acquisition_strategy").isin(*SNAPSHOTS), F.lit(False)), "NOT_ACQUIRED": ~F.col("status").isin(*ACQUIRED), "NOT_VALIDATED": ~F.coalesce("row_count_validated", F.lit(False)),
+        "NOT_ONE_FILE": ~F.col("_files").eqNullSafe(1), "COUNTS_UNKNOWN": want.isNull() | got.isNull(), "COUNTS_DIFFER": want != got, "EMPTY": (want == got) & (got <= 0),
+        "QUARANTINED_ROWS": F.col("_held") > 0, "NOT_NEWEST": F.col("_newest").isNull(),
+    }
+    return known.select(*mine, F.array_compact(F.array(*(F.when(c, F.lit(n)) for n, c in broken.items()))).alias("blockers"))
+
+
+def call_blockers(enabled: bool, partial_scope: bool, until: object | None) -> list[str]:
+    """What about the call itself forbids deletions: not asked for, a run over a part, no date to bound them."""
+    return [n for n, broken in zip(BLOCKERS, (not enabled, partial_scope, until is None)) if broken]

@@ -6,7 +6,8 @@ import hashlib
 import json
 import os
 import time
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 from urllib.parse import urlencode, urlparse
 
@@ -15,11 +16,14 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from ledgerloom.operators.control import PAGE_ROWS
 from ledgerloom.operators.versioned import write_json_atomically
 
+SKIPPED = "SKIPPED_ALREADY_ACQUIRED"
 #: url -> body; raises OSError on failures worth another try.
 Transport = Callable[[str], bytes]
+#: url -> (announced length or None, blocks of the body); raises OSError likewise.
+Stream = Callable[[str], tuple[int | None, Iterator[bytes]]]
 
 
-def retry(work: Callable[[], bytes], tries: int = 4, sleep: Callable[[float], None] = time.sleep) -> bytes:
+def retry(work: Callable, tries: int = 4, sleep: Callable[[float], None] = time.sleep):
     """Try again after 1, 2, 4, ... seconds; the last failure is raised."""
     for n in range(tries):
         try:
@@ -31,6 +35,29 @@ def retry(work: Callable[[], bytes], tries: int = 4, sleep: Callable[[float], No
     raise AssertionError("unreachable")
 
 
+def http_stream(url: str, block: int = 1 << 20) -> tuple[int | None, Iterator[bytes]]:
+    """A body over HTTP in blocks."""
+    from urllib.request import Request, urlopen
+
+    response = urlopen(Request(url, headers={"Accept-Encoding": "identity"}), timeout=300)
+    length = response.headers.get("Content-Length")
+    return (int(length) if length else None), iter(lambda: response.read(block), b"")
+
+
+def download(get: Stream, url: str, part: Path) -> tuple[str, int]:
+    """Write a body to ``part`` as it comes: (digest, bytes). An empty body or one shorter than announced raises OSError."""
+    length, blocks = get(url)
+    digest, size = hashlib.sha256(), 0
+    with open(part, "wb") as f:
+        for block in blocks:
+            f.write(block)
+            digest.update(block)
+            size += len(block)
+    if not size or (length is not None and size < length):
+        raise OSError(f"{url}: {size} of {length} bytes")
+    return digest.hexdigest(), size
+
+
 def batch_id(dataset: str, load_type: str, source: str, digest: str) -> str:
     return hashlib.sha256("|".join((dataset, load_type, source, digest)).encode()).hexdigest()[:24]
 
@@ -53,25 +80,38 @@ def page_url(base: str, dataset_id: str, offset: int, column: str | None = None,
     return f"{base}/{dataset_id}/0?{urlencode(query)}"
 
 
-def fetch_bulk(get: Transport, url: str, folder: str, dataset: str, known_digests: set[str]) -> dict:
-    """Download once: same content as a known file is skipped; an empty body raises. The file appears whole or not at all."""
-    body = retry(lambda: get(url), 3)
-    if not body:
-        raise OSError("empty body")
-    digest = hashlib.sha256(body).hexdigest()
-    facts = {"sha256": digest, "bytes": len(body), "batch_id": batch_id(dataset, "full", url, digest), "url": url}
-    if digest in known_digests:
-        return facts | {"status": "SKIPPED_ALREADY_ACQUIRED", "path": None}
-    path = Path(folder) / (Path(urlparse(url).path).name or f"{dataset}.csv")
-    path.parent.mkdir(parents=True, exist_ok=True)
-    part = path.with_suffix(path.suffix + ".part")
-    part.write_bytes(body)
-    os.replace(part, path)
-    return facts | {"status": "SUCCESS", "path": str(path)}
+def fetch_bulk(get: Stream, item: dict, folder: str, dataset: str, known: Iterable[dict] = (), force: bool = False, sleep: Callable[[float], None] = time.sleep) -> dict:
+    """Download the csv of a catalogue item once, in blocks; the file appears whole or not at all.
+
+    ``known`` are the manifest rows of earlier deliveries of the dataset. An unchanged publication (same url and date of
+    change) whose file is still there is not downloaded; content that is known is downloaded, but not kept twice. Both
+    are SKIPPED_ALREADY_ACQUIRED with the path they have, unless ``force``.
+    """
+    url, modified = csv_distribution(item), item.get("modified")
+    facts = {"url": url, "modified": modified}
+    there = [r for r in known if r.get("path") and Path(r["path"]).is_file()] if not force else []
+    for r in there:
+        if (r.get("url"), r.get("modified")) == (url, modified) and modified:
+            return facts | {k: r[k] for k in ("sha256", "bytes", "path")} | {"status": SKIPPED, "batch_id": batch_id(dataset, "full", url, r["sha256"])}
+    target = Path(folder) / (Path(urlparse(url).path).name or f"{dataset}.csv")
+    target.parent.mkdir(parents=True, exist_ok=True)
+    part = target.with_name(f".{target.name}.{uuid.uuid4().hex}.part")
+    try:
+        digest, size = retry(lambda: download(get, url, part), 3, sleep)
+        facts |= {"sha256": digest, "bytes": size, "batch_id": batch_id(dataset, "full", url, digest)}
+        for r in there:
+            if r["sha256"] == digest:
+                return facts | {"status": SKIPPED, "path": r["path"]}
+        final = target.with_name(f"{target.stem}_{digest[:12]}{target.suffix or '.csv'}")
+        os.replace(part, final)
+        return facts | {"status": "SUCCESS", "path": str(final)}
+    finally:
+        part.unlink(missing_ok=True)
 
 
 def fetch_window(get: Transport, base: str, spec, folder: str, start: str, end: str, rows: int = PAGE_ROWS) -> list[dict]:
-    """All pages of a date window as files. A changed total or a repeated page raises; then no file is left behind."""
+    """All pages of a date window as files. A changed total, a repeated page or fewer rows than announced raises; then no
+    file is left behind."""
     out: list[dict] = []
     seen: set[str] = set()
     total = None
@@ -90,8 +130,10 @@ def fetch_window(get: Transport, base: str, spec, folder: str, start: str, end:
             path = Path(folder) / f"page_{len(out):04d}.json"
             write_json_atomically(path, {"_meta": meta, "results": page["results"]})
             out.append({"path": str(path), "offset": len(out) * rows, "rows": len(page["results"]), "total": total, "batch_id": batch_id(spec.name, "incremental", url, content)})
-            if not total:
+            if len(page["results"]) < rows:
                 break
+        if (got := sum(item["rows"] for item in out)) != total:
+            raise ValueError(f"the service announced {total} rows and gave {got}")
     except BaseException:
         for item in out:
             Path(item["path"]).unlink(missing_ok=True)
@@ -100,14 +142,14 @@ def fetch_window(get: Transport, base: str, spec, folder: str, start: str, end:
 
 
 class _Page(InputPartition):
-    def __init__(self, offset: int):
+    def __init__(self, offset: int, total: int):
         super().__init__(offset)
-        self.offset = offset
+        self.offset, self.total = offset, total
 
 
 class _PageReader(DataSourceReader):
     def __init__(self, schema, options):
-        self.names, self.options = schema.names, options
+        self.names, self.options, self.rows = schema.names, options, int(options.get("rows", PAGE_ROWS))
 
     def _get(self, offset: int) -> dict:
         where = self.options["base"]
@@ -116,15 +158,20 @@ class _PageReader(DataSourceReader):
                 return json.load(f)
         from urllib.request import urlopen
 
-        url = page_url(where, self.options["dataset_id"], offset, self.options.get("column"), self.options.get("start"), self.options.get("end"))
+        url = page_url(where, self.options["dataset_id"], offset, self.options.get("column"), self.options.get("start"), self.options.get("end"), self.rows)
         return json.loads(retry(lambda: urlopen(url, timeout=120).read()))
 
     def partitions(self) -> list[InputPartition]:
         total = int(self._get(0)["count"])
-        return [_Page(o) for o in range(0, max(total, 1), int(self.options.get("rows", PAGE_ROWS)))]
+        return [_Page(o, total) for o in range(0, max(total, 1), self.rows)]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
-        for r in self._get(partition.offset)["results"]:
+        """The rows of one page, which must hold what the total that all pages were planned by leaves for it."""
+        page = self._get(partition.offset)
+        want = min(self.rows, partition.total - partition.offset)
+        if int(page["count"]) != partition.total or len(page["results"]) != max(want, 0):
+            raise ValueError(f"page at {partition.offset}: {len(page['results'])} rows of a total of {page['count']}, {want} of {partition.total} were planned")
+        for r in page["results"]:
             yield tuple(None if r.get(n) is None else str(r[n]) for n in self.names)
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,8 @@ from pyspark.sql import types as T
 from ledgerloom.operators import control, evidence, merge
 from ledgerloom.operators.audit import LEGACY_QUARANTINE_SCHEMA, LOG_SCHEMA, SILVER_QUARANTINE_SCHEMA, audited, check_log
 from ledgerloom.operators.classify import classify, conservation, silver_columns, transform
-from ledgerloom.operators.versioned import CREATED, VERIFIED, BatchTable, SchemaMismatch, VersionedTable
+from ledgerloom.operators.versioned import CREATED, VERIFIED, BatchTable, ConcurrentChange, SchemaMismatch, VersionedTable
+from ledgerloom.sources.storage import Storage
 from ledgerloom.spec import BRONZE_METADATA, PENALTY_COLUMNS, REGISTRY, check_contract, dataset
 
 D = dt.date
@@ -32,7 +34,7 @@ def bronze(spark, rows):
 def test_transform_classifies_each_row_once(spark):
     rows = [{}, {}, {"fine_id": "F2"}, {"fine_id": "F2", "fine_amount": "11"}, {"fine_id": "F3", "penalty_type": "?"}, {"fine_id": None}, {"cms_certification_number_ccn": " "}, {"processing_date": "2024-03-01"}]
     done = transform(bronze(spark, rows), dataset("penalties"), "salt")
-    assert conservation(done.classified) == {"INVALID": 3, "CONFLICT": 2, "DUPLICATE": 2, "ACCEPTED": 1, "read": 8}
+    assert conservation(done) == {"INVALID": 3, "CONFLICT": 2, "DUPLICATE": 2, "ACCEPTED": 1, "read": 8}
     kept = done.silver.collect()
     assert len(kept) == 1 and kept[0]["source_processing_date"] == D(2024, 3, 1)  # the newest of equal rows survives
     assert kept[0]["cms_certification_number_ccn"] == "12345A" and len(kept[0]["provider_address_hash"]) == 64
@@ -89,15 +91,6 @@ def test_append_and_watermarks(spark):
     assert {tuple(r) for r in out.collect()} == {("a", 5, "t"), ("b", 1, "s"), ("c", 2, "s")}
 
 
-def test_soft_delete_gate():
-    ok = merge.SnapshotFacts("snapshot_diff", "SUCCESS", True, 1, 5, 5)
-    assert merge.soft_delete_refusals(ok, True, False, 0, True, D(2024, 1, 1)) == []
-    bad = merge.SnapshotFacts("api_date_window", "FAILURE", False, 2, 5, 4)
-    assert len(merge.soft_delete_refusals(bad, False, True, 1, False, None)) == 10
-    assert merge.soft_delete_refusals(merge.SnapshotFacts("bulk_snapshot", "SUCCESS", True, 1, 0, 0), True, False, 0, True, 1) == ["the snapshot is empty"]
-    assert merge.soft_delete_refusals(merge.SnapshotFacts("bulk_snapshot", "SUCCESS", True, 1, None, 0), True, False, 0, True, 1) == ["row counts are not known"]
-
-
 MF = "dataset string, acquisition_run_id string, batch_id string, landing_path string, status string, row_count_validated boolean, load_type string, acquisition_strategy string, expected_run_rows bigint, source_rows bigint, page_offset bigint, window_start date, window_end date, as_of_date date, load_timestamp timestamp"
 LG = "dataset string, batch_id string, pipeline_layer string, status string, run_id string"
 
@@ -166,7 +159,7 @@ def test_versioned_table(spark, tmp_path):
     t.append(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"))
     t.append(spark.createDataFrame([], "k string, v int"))
     t.append(spark.createDataFrame([("c", 3)], "k string, v int"))
-    assert t.read().count() == 3 and len(list((tmp_path / "t").glob("v=*"))) == 3  # an append leaves the other folders alone
+    assert t.read().count() == 3 and len(list((tmp_path / "t").glob("data-*"))) == 3  # an append leaves the other folders alone
     t.delete(F.col("k") == "c")
     t.update(F.col("k") == "a", {"v": F.lit(9)})
     t.delete(F.col("k") == "b")
@@ -178,6 +171,40 @@ def test_versioned_table(spark, tmp_path):
     assert t.read().first()["w"] == "a!"
     with pytest.raises(SchemaMismatch):
         VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField("k", T.IntegerType())])).ensure()
+    with pytest.raises(SchemaMismatch):  # nullability counts
+        VersionedTable(spark, str(tmp_path / "t"), T.StructType([T.StructField(f.name, f.dataType) for f in t.schema.fields])).ensure()
+    counts = {(r["operation"], *sorted(r["counts"].items())) for r in t.history().collect()}
+    assert {("APPEND", ("inserted", 2)), ("UPDATE", ("updated", 1)), ("DELETE", ("deleted", 1))} <= counts
+    assert t.update(F.col("k") == "nowhere", {"v": F.lit(0)}) == t.version() and t.read(1).count() == 2  # nothing to publish; old versions can be read
+    assert len(t.vacuum()) == 6 and t.read().count() == 1 and len(list((tmp_path / "t").glob("data-*"))) == 1
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.StringType(), False)])
+    a, b = (VersionedTable(spark, str(tmp_path / "w"), schema) for _ in range(2))
+    a.ensure()
+    one = lambda k: spark.createDataFrame([(k,)], schema)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda k: (a if int(k) % 2 else b).append(one(k)), "12345678"))
+    assert sorted(r["k"] for r in a.read().collect()) == list("12345678") and a.versions() == list(range(9))
+    version = a.version()
+    b.append(one("9"))
+    with pytest.raises(ConcurrentChange):  # computed from rows that are no longer all
+        a.publish(a.read(version).filter("k > '4'"), "DELETE", based_on=version)
+    assert a.read().count() == 9 and len(list((tmp_path / "w").glob("data-*"))) == 10
+
+
+def test_storage_through_hadoop_creates_only_once(spark, tmp_path):
+    class Remote(Storage):
+        local = None  # as on a file system that is not the driver's
+
+    s = Remote(spark, f"file:{tmp_path}/s")
+    assert s.create("_log/1.json", "é") and not s.create("_log/1.json", "other") and s.read("_log/1.json") == "é"
+    assert s.names("_log") == ["1.json"] and s.names("nowhere") == [] and not s.exists("x")
+    s.move(f"file:{tmp_path}/t")
+    with pytest.raises(OSError):
+        Storage(spark, f"file:{tmp_path}/t").move(f"file:{tmp_path}/t")
+    assert Storage(spark, str(tmp_path / "t")).read("_log/1.json") == "é"
 
 
 def test_batch_table(spark, tmp_path):
@@ -203,15 +230,24 @@ def test_migration(spark, tmp_path):
     legacy = VersionedTable(spark, str(tmp_path / "q"), LEGACY_QUARANTINE_SCHEMA)
     at = dt.datetime(2024, 1, 1)
     legacy.append(spark.createDataFrame([("p", "b1", "{}", ["R"], at), ("p", "b1", "{}", ["R"], at)], LEGACY_QUARANTINE_SCHEMA))
-    manifest = spark.createDataFrame([("p", "b1", "path", "sha", at)], "dataset string, batch_id string, landing_path string, source_file_sha256 string, load_timestamp timestamp")
+    manifest = spark.createDataFrame([("p", "b1", "path", "SHA", "SUCCESS", at), ("p", "b1", "path", "sha", "SUCCESS", at), ("p", "b1", "other", "x", "FAILURE", at)], "dataset string, batch_id string, landing_path string, source_file_sha256 string, status string, load_timestamp timestamp")
     staged = VersionedTable(spark, str(tmp_path / "q_new"), SILVER_QUARANTINE_SCHEMA)
-    m = evidence.Migration(legacy, staged, "yes")
-    m.prepare(manifest)
+    m = evidence.Migration(legacy, staged, ("prepare", "yes"))
+    with pytest.raises(PermissionError):
+        m.prepare(manifest, "yes")
+    with pytest.raises(ValueError, match="MISSING"):  # nothing is prepared yet
+        m.activate("yes")
+    m.prepare(manifest, "prepare")
     assert m.preview() == {"legacy_rows": 2, "staged_rows": 2} and m.verify()
     with pytest.raises(PermissionError):
         m.activate("no")
     m.activate("yes")
+    assert m.states() == ("CURRENT", "MISSING")
+    with pytest.raises(ValueError):
+        m.activate("yes")
     live = VersionedTable(spark, str(tmp_path / "q"), SILVER_QUARANTINE_SCHEMA)
     assert {r["source_file"] for r in live.read().collect()} == {"path"}
     with pytest.raises(evidence.UnresolvedLineage):
         evidence.rebuild_lineage(VersionedTable(spark, str(tmp_path / "q__backup"), LEGACY_QUARANTINE_SCHEMA).read(), manifest.limit(0))
+    with pytest.raises(evidence.UnresolvedLineage, match="several"):
+        evidence.rebuild_lineage(VersionedTable(spark, str(tmp_path / "q__backup"), LEGACY_QUARANTINE_SCHEMA).read(), manifest.withColumn("status", F.lit("SUCCESS")))

@@ -11,12 +11,13 @@ from ledgerloom.spec import PENALTY_COLUMNS, dataset
 from ledgerloom.streaming.ingest import quarantine_of, run_into, stream_csv
 
 SPEC = dataset("penalties")
+WINDOW = ("2024-01-01", "2024-01-31")
 ROW = ["012345", "Home", 'a "b", c', "City", "TX", "12345", "2024-01-05", "Fine", "F1", "10", "", "", "line\nbreak", "2024-02-01"]
 
 
 def landed(path, text, **kw):
     path.write_bytes(text.encode())
-    return Landed(str(path), kw.get("batch", "b1"), kw.get("load_type", "full"), "2024-02-02", hashlib.sha256(path.read_bytes()).hexdigest(), path.stat().st_size, kw.get("expected"))
+    return Landed(str(path), kw.get("batch", "b1"), kw.get("load_type", "full"), "2024-02-02", hashlib.sha256(path.read_bytes()).hexdigest(), path.stat().st_size, kw.get("expected"), *WINDOW)
 
 
 def quoted(*cells):
@@ -58,11 +59,16 @@ def test_json_page(spark, tmp_path):
     rows = [dict(zip(PENALTY_COLUMNS, ROW)), {"cms_certification_number_ccn": "x", "added": "new"}]
     done = load_file(spark, landed(tmp_path / "p.json", page(rows), load_type="incremental", expected=2), SPEC)
     assert {r["added"] for r in done.good.collect()} == {None, "new"} and done.corrupt.count() == 0
-    for wrong in ({"rows_in_file": 3}, {"dataset_id": "x"}, {"filter": "penalty_date >= 2024-01-01"}, {"load_type": "full"}, {"rows_available": 1}):
+    for wrong in ({"rows_in_file": 3}, {"dataset_id": "x"}, {"filter": "penalty_date >= 2024-01-01"}, {"filter": "penalty_date >= 2024-01-01 AND penalty_date <= 2024-01-30"}, {"load_type": "full"}, {"rows_available": 1}):
         (tmp_path / "w.json").write_text(page(rows, **wrong))
         meta, _, n = page_facts(str(tmp_path / "w.json"))
         with pytest.raises(EnvelopeError):
-            check_page(meta, n, SPEC, "incremental", 2)
+            check_page(meta, n, SPEC, "incremental", 2, *WINDOW)
+    meta = json.loads(page(rows))["_meta"]
+    with pytest.raises(EnvelopeError, match="window"):
+        check_page(meta, 2, SPEC, "incremental", 2)
+    nothing = load_file(spark, landed(tmp_path / "n.json", page([]), load_type="incremental", expected=0), SPEC)
+    assert nothing.counts() == (0, 0) and nothing.good.count() == 0
     (tmp_path / "x.json").write_text("[]")
     with pytest.raises(EnvelopeError):
         page_facts(str(tmp_path / "x.json"))
@@ -100,6 +106,12 @@ def test_paged_fetch(tmp_path):
     same = lambda u: json.dumps({"count": 6, "results": rows[:3]}).encode()
     with pytest.raises(ValueError, match="twice"):
         fetch_window(same, "https://x", SPEC, str(tmp_path / "twice"), "2024-01-01", "2024-01-31", rows=3)
+    short = lambda u: json.dumps({"count": 6, "results": rows[:2] if "offset=3" in u else rows[3:6]}).encode()
+    with pytest.raises(ValueError, match="announced 6 rows and gave 5"):
+        fetch_window(short, "https://x", SPEC, str(tmp_path / "short"), "2024-01-01", "2024-01-31", rows=3)
+    assert not list((tmp_path / "short").glob("*.json"))
+    none = lambda u: json.dumps({"count": 0, "results": []}).encode()
+    assert [g["rows"] for g in fetch_window(none, "https://x", SPEC, str(tmp_path / "none"), "2024-01-01", "2024-01-31")] == [0]
     assert "conditions%5B1%5D%5Boperator%5D=%3C%3D" in page_url("https://x", "d", 0, "c", "a", "b")
 
 
@@ -116,9 +128,22 @@ def test_retry_bulk_and_ids(tmp_path):
     assert retry(flaky, 4, waits.append) == b"body" and waits == [1.0, 2.0]
     with pytest.raises(OSError):
         retry(lambda: (_ for _ in ()).throw(OSError("x")), 2, waits.append)
-    first = fetch_bulk(lambda u: b"a,b\n", "https://h/f.csv", str(tmp_path), "penalties", set())
-    assert first["status"] == "SUCCESS" and (tmp_path / "f.csv").read_bytes() == b"a,b\n"
-    assert fetch_bulk(lambda u: b"a,b\n", "https://h/f.csv", str(tmp_path), "penalties", {first["sha256"]})["status"] == "SKIPPED_ALREADY_ACQUIRED"
+    item = {"modified": "2024-01-01", "distribution": [{"downloadURL": "https://h/f.csv", "mediaType": "text/csv"}]}
+    body = lambda *blocks, length=None: lambda url: (length, iter(blocks))
+    first = fetch_bulk(body(b"a,", b"b\n", length=4), item, str(tmp_path / "x"), "penalties")
+    assert first["status"] == "SUCCESS" and first["path"].startswith(str(tmp_path / "x" / "f_")) and open(first["path"], "rb").read() == b"a,b\n"
+
+    def never(url):
+        raise AssertionError("an unchanged publication was downloaded")
+
+    assert fetch_bulk(never, item, str(tmp_path / "x"), "penalties", [first])["path"] == first["path"]
+    changed = fetch_bulk(body(b"a,b\n"), item | {"modified": "2024-02-01"}, str(tmp_path / "x"), "penalties", [first])
+    assert changed["status"] == "SKIPPED_ALREADY_ACQUIRED" and changed["path"] == first["path"]
+    assert fetch_bulk(body(b"c,d\n"), item | {"modified": "2024-02-01"}, str(tmp_path / "x"), "penalties", [first])["status"] == "SUCCESS"
+    for bad in (body(), body(b"a,", length=4)):
+        with pytest.raises(OSError):
+            fetch_bulk(bad, item, str(tmp_path / "y"), "penalties", sleep=waits.append)
+    assert not list((tmp_path / "y").iterdir()) and len(list((tmp_path / "x").iterdir())) == 2
     assert len(batch_id("d", "full", "u", "x")) == 24
     assert csv_distribution({"distribution": [{"downloadURL": "http://a/x.csv"}, {"downloadURL": "https://a/x", "mediaType": "text/csv"}]}) == "https://a/x"
     with pytest.raises(ValueError):
@@ -170,3 +195,12 @@ def test_stream_quarantines_broken_rows_and_replaces_by_batch(spark, tmp_path):
     write("b.csv", quoted(*ROW))
     good, bad = load("2")
     assert len(good) == 1 and len(bad) == 2 and {r["batch_id"] for r in bad}.isdisjoint(r["_batch_id"] for r in good)
+
+
+def test_paged_data_source_refuses_short_pages(spark, tmp_path):
+    for offset, n in ((0, 2), (2, 1), (4, 1)):
+        (tmp_path / f"{offset}.json").write_text(json.dumps({"count": 5, "results": [{"id": i} for i in range(offset, offset + n)]}))
+    spark.dataSource.register(PagedSource)
+    df = spark.read.format("paged_api").schema("id string").options(base=f"file:{tmp_path}", dataset_id="d", rows="2").load()
+    with pytest.raises(Exception, match="planned"):
+        df.collect()
