@@ -64,6 +64,11 @@ def silver_work(manifest: DataFrame, logs: DataFrame, dataset: str | None = None
     return ready if reprocess else ready.join(succeeded(logs, "Bronze-to-Silver", SILVER_TERMINAL), ["dataset", "batch_id"], "left_anti")
 
 
+def contiguous(lo: Column, hi: Column, distinct: Column, n: Column, step: int = PAGE_ROWS) -> Column:
+    """Whether ``n`` offsets, ``distinct`` of them different, from ``lo`` to ``hi`` are 0, step, 2 step, ... without a hole or repetition."""
+    return (distinct == n) & (lo == 0) & (hi == (n - 1) * step)
+
+
 def reconcile_runs(manifest: DataFrame, logs: DataFrame, bronze_run: str | None = None) -> DataFrame:
     """One row per acquisition run: (dataset, acquisition_run_id, complete, expected_rows, parsed_rows, watermark_value,
     problem). All runs are judged in one aggregation; the first failing test names the problem. ``bronze_run`` accepts
@@ -81,7 +86,7 @@ def reconcile_runs(manifest: DataFrame, logs: DataFrame, bronze_run: str | None
         F.count_if(F.col("page_offset") % PAGE_ROWS != 0).alias("off_grid"),
         F.countDistinct("window_end").alias("ends"), F.max("window_end").alias("window_end"), F.countDistinct("as_of_date").alias("dates"), F.max("as_of_date").alias("as_of"),
     )
-    gap = (F.col("offsets") != F.col("files")) | (F.col("lo") != 0) | (F.col("hi") != (F.col("files") - 1) * PAGE_ROWS) | (F.col("off_grid") > 0)
+    gap = ~contiguous(F.col("lo"), F.col("hi"), F.col("offsets"), F.col("files")) | (F.col("off_grid") > 0)
     problem = (
         F.when(F.col("kinds") != 1, "no single expected row count")
         .when(F.col("unparsed") > 0, "a file is not parsed")
@@ -110,7 +115,7 @@ def complete_windows(manifest: DataFrame, logs: DataFrame) -> DataFrame:
         F.countDistinct("page_offset").alias("offsets"), F.min("page_offset").alias("lo"), F.max("page_offset").alias("hi"),
         F.count_if(F.col("_done").isNull()).alias("open"), F.max("load_timestamp").alias("at"), F.sort_array(F.collect_set("landing_path")).alias("paths"),
     )
-    whole = runs.filter("kinds = 1 AND broken = 0 AND got = expected AND offsets = n AND lo = 0").filter(F.col("hi") == (F.col("n") - 1) * PAGE_ROWS)
+    whole = runs.filter("kinds = 1 AND broken = 0 AND got = expected").filter(contiguous(F.col("lo"), F.col("hi"), F.col("offsets"), F.col("n")))
     newest = latest(whole.filter(F.col("window_start").isNotNull() | F.col("window_end").isNotNull()), ["dataset", "window_start", "window_end"], [F.desc("at"), F.desc("acquisition_run_id")])
     return newest.select("dataset", "window_start", "window_end", "acquisition_run_id", "paths", (F.col("open") == 0).alias("bronze_complete"))
 
@@ -131,7 +136,7 @@ def newest_snapshot(manifest: DataFrame, logs: DataFrame) -> DataFrame:
     """Per dataset the newest validated snapshot whose batch reached Bronze."""
     good = manifest.filter(F.col("status").isin(*ACQUIRED) & F.col("row_count_validated") & F.col("acquisition_strategy").isin(*SNAPSHOTS))
     ready = good.join(succeeded(logs, "Raw-to-Bronze"), ["dataset", "batch_id"], "left_semi")
-    return latest(ready, ["dataset"], [F.desc("as_of_date"), F.desc("load_timestamp")])
+    return latest(ready, ["dataset"], [F.desc("as_of_date"), F.desc("load_timestamp"), F.desc("batch_id")])  # a tie must not depend on the plan
 
 
 def current_watermark(watermarks: DataFrame) -> DataFrame:
@@ -147,6 +152,11 @@ def window_start(explicit: dt.date | None, watermark: dt.date | None, overlap_da
     return watermark - dt.timedelta(days=overlap_days)
 
 
+def window_starts(watermarks: DataFrame, overlap_days: int = 60) -> DataFrame:
+    """(dataset, watermark_value, window_start): where the next window of each dataset with a watermark starts."""
+    return current_watermark(watermarks).withColumn("window_start", F.date_sub("watermark_value", overlap_days))
+
+
 def pending_keys(bronze_done: set[tuple[str, str]], silver_done: set[tuple[str, str]]) -> list[tuple[str, str]]:
     return sorted(bronze_done - silver_done)
 

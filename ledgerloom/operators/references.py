@@ -8,9 +8,8 @@ combine), so a key that holds a third of all rows crosses the shuffle once per m
 from __future__ import annotations
 
 from functools import reduce
-from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.session import cut_lineage
@@ -32,8 +31,8 @@ def orphan_keys(references: DataFrame, parents: DataFrame, columns: list[str], m
     nullable = columns if nullable is None else nullable
     keys = cut_lineage(references.select(*columns).distinct())  # else each mask would read the references again
     found = []
-    for nulls in product([False, True], repeat=len(nullable)):
-        mask = dict(zip(nullable, nulls))
+    for row in keys.select(*(F.col(c).isNull().alias(f"_{i}") for i, c in enumerate(nullable))).distinct().collect():  # the null masks that occur
+        mask = dict(zip(nullable, row))
         here = [c for c in columns if not mask.get(c, False)]
         if not here or (match == SIMPLE and len(here) < len(columns)):
             continue
@@ -67,3 +66,8 @@ def orphan_references(references: DataFrame, parents: DataFrame, columns: list[s
     right = reasons.select(*(F.col(c).alias(f"__key_{c}") for c in columns), "reason")
     on = reduce(lambda a, b: a & b, [references[c].eqNullSafe(right[f"__key_{c}"]) if c in nullable else references[c] == right[f"__key_{c}"] for c in columns])
     return references.join(right, on).drop(*(f"__key_{c}" for c in columns))
+
+
+def orphan_report(orphans: DataFrame, table: str, period: Column) -> DataFrame:
+    """(table, period, reason, n): the orphans of each table and period, as ``orphan_references`` gives them."""
+    return orphans.groupBy(table, period.alias("period"), "reason").agg(F.count(F.lit(1)).alias("n"))

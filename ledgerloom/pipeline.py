@@ -205,7 +205,7 @@ class SilverRun:
     outside: list[dict] = field(default_factory=list)
 
 
-def _silver_item(lake: Lake, item: dict, run_id: str, salt: str, allow_soft_deletes: bool, partial: bool, first: str | None, last: str | None, logs: list[dict]) -> dict | None:
+def _silver_item(lake: Lake, item: dict, run_id: str, salt: str, allow_soft_deletes: bool, partial: bool, first: str | None, last: str | None, strict_dates: bool, logs: list[dict]) -> dict | None:
     spec = spec_of(item["dataset"])
     parameter = f"acquisition_run_id={item['acquisition_run_id']};batch_id={item['batch_id']};ingest_from={first or ''};ingest_to={last or ''};allow_soft_deletes={str(allow_soft_deletes).lower()}"
     fields = {"run_id": run_id, "batch_id": item["batch_id"], "pipeline_layer": "Bronze-to-Silver", "dataset": item["dataset"], "load_type": item["load_type"], "parameter_processed": parameter}
@@ -221,7 +221,7 @@ def _silver_item(lake: Lake, item: dict, run_id: str, salt: str, allow_soft_dele
         if seen["inside"] < seen["all"]:
             raise ValueError(f"the ingestion dates select {seen['inside']} of {seen['all']} rows of batch {batch}; part of a batch cannot be finished")
         record["rows_read"] = seen["all"]
-        done = transform(table.slice(batch, "_ingest_date", first, last), spec, salt)
+        done = transform(table.slice(batch, "_ingest_date", first, last), spec, salt, strict_dates)
         counts = conservation(done)
         record["rows_quarantined"] = counts[INVALID] + counts[CONFLICT]
         identity = [c for c in SILVER_QUARANTINE_SCHEMA.names if c != "load_timestamp"]
@@ -252,7 +252,7 @@ def _delete_missing(table: VersionedTable, snapshot: DataFrame, key: str, until:
 
 def run_silver(
     lake: Lake, run_id: str, salt: str, *, dataset: str | None = None, load_type: str | None = None, acquisition_run_id: str | None = None, batch_ids: list[str] | None = None, ingest_from: str | None = None,
-    ingest_to: str | None = None, reprocess: bool = False, allow_soft_deletes: bool = False,
+    ingest_to: str | None = None, reprocess: bool = False, allow_soft_deletes: bool = False, strict_dates: bool = False,
 ) -> SilverRun:
     """Bring the pending Bronze batches into Silver in order of arrival; raises ``PipelineFailed`` at the end if any failed.
 
@@ -271,7 +271,7 @@ def run_silver(
     for item in [r.asDict() for r in work.orderBy("load_timestamp", "dataset", F.col("page_offset").asc_nulls_first(), "batch_id").collect()]:  # batches to merge, one after the other
         logs: list[dict] = []
         try:
-            done = _silver_item(lake, item, run_id, salt, allow_soft_deletes, partial, ingest_from, ingest_to, logs)
+            done = _silver_item(lake, item, run_id, salt, allow_soft_deletes, partial, ingest_from, ingest_to, strict_dates, logs)
             (out.outside if done is None else out.processed).append(done or {k: item[k] for k in ("dataset", "batch_id")})
         except Exception as error:  # logged by its audit; the next batch goes on
             failures.append({k: item[k] for k in ("dataset", "batch_id")} | {"error": _told(error)})

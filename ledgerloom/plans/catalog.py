@@ -6,18 +6,28 @@ Every query runs over its whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.functions.keys import entity_key, json_digest, salted_digest, severity_group
 from ledgerloom.functions.rules import RuleSpec, Subtype, judge, typed
 from ledgerloom.functions.values import blank_to_null, flexible_date
 from ledgerloom.operators import control, evidence, merge
-from ledgerloom.operators.classify import classify, transform
-from ledgerloom.session import scratch_dir, table
-from ledgerloom.sources.files import CORRUPT, envelope_schema, read_csv, text_schema
+from ledgerloom.operators.audit import MANIFEST_SCHEMA
+from ledgerloom.operators.classify import ACCEPTED, CONFLICT, DUPLICATE, classify, transform
+from ledgerloom.operators.drift import consistent_table, drift_report
+from ledgerloom.operators.versioned import BatchTable, VersionedTable
+from ledgerloom.pipeline import Lake, run_bronze, run_silver
+from ledgerloom.plans import problems
+from ledgerloom.plans.rule_sql import PENALTY_STATUSES, QUARANTINED_PENALTIES, SILVER_DEFICIENCIES, SILVER_PROVIDERS
+from ledgerloom.session import cut_lineage, scratch_dir, table
+from ledgerloom.sources.files import CORRUPT, file_digest, quarantined, read_csv, read_page
+from ledgerloom.sources.storage import Storage
 from ledgerloom.spec import dataset
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,24 +138,35 @@ def safe_cast_failures(spark, d):
     return _text_orders(spark, d).filter(F.col("price").isNotNull() & F.col("price").try_cast("decimal(14,2)").isNull()).select("o_orderkey", "price")
 
 
+def _one_rule(df: DataFrame, keys: list[str], column: str, **rules) -> DataFrame:
+    """``keys``, the typed value ``v`` and the failed rules of one column, through the compiled rules."""
+    spec = RuleSpec(source=(column,), **rules)
+    judged = judge(df.select(*keys, F.col(column).cast("string").alias(column)), spec)
+    return judged.select(*keys, F.col(f"v_{column}").alias("v"), "failed")
+
+
 @query("SELECT c_custkey, regexp_full_match(c_name, 'Customer#[0-9]{6}[1-8]{3}') AS ok FROM customer")
 def regex_rule(spark, d):
-    return table(spark, d, "customer").select("c_custkey", F.col("c_name").rlike(r"^(?:Customer#[0-9]{6}[1-8]{3})\z").alias("ok"))
+    judged = _one_rule(table(spark, d, "customer"), ["c_custkey"], "c_name", regex={"c_name": "Customer#[0-9]{6}[1-8]{3}"})
+    return judged.select("c_custkey", (F.size("failed") == 0).alias("ok"))
 
 
 @query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
 def domain_rule(spark, d):
-    return table(spark, d, "customer").filter(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select("c_custkey", "c_mktsegment")
+    judged = _one_rule(table(spark, d, "customer"), ["c_custkey"], "c_mktsegment", domain={"c_mktsegment": ("BUILDING", "MACHINERY")})
+    return judged.filter(F.array_contains("failed", "DOMAIN:c_mktsegment")).select("c_custkey", F.col("v").alias("c_mktsegment"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount < 0.02 OR l_discount > 0.08")
 def range_rule(spark, d):
-    return table(spark, d, "lineitem").filter((F.col("l_discount") < 0.02) | (F.col("l_discount") > 0.08)).select("l_orderkey", "l_linenumber", "l_discount")
+    judged = _one_rule(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], "l_discount", types={"l_discount": "double"}, ranges={"l_discount": (0.02, 0.08)})
+    return judged.filter(F.array_contains("failed", "RANGE:l_discount")).select("l_orderkey", "l_linenumber", F.col("v").alias("l_discount"))
 
 
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0")
 def non_negative_rule(spark, d):
-    return table(spark, d, "customer").filter("c_acctbal < 0").select("c_custkey", "c_acctbal")
+    judged = _one_rule(table(spark, d, "customer"), ["c_custkey"], "c_acctbal", types={"c_acctbal": "double"}, non_negative=("c_acctbal",))
+    return judged.filter(F.array_contains("failed", "NON_NEGATIVE:c_acctbal")).select("c_custkey", F.col("v").alias("c_acctbal"))
 
 
 _SUB = """s AS (SELECT l_orderkey, l_linenumber, l_returnflag AS kind, CASE WHEN l_returnflag = 'R' OR l_suppkey % 7 = 0 THEN 'x' END AS fine, CASE WHEN l_returnflag <> 'R' AND l_partkey % 5 > 0 THEN 'y' END AS denial FROM lineitem)"""
@@ -198,13 +219,16 @@ def classify_conservation(spark, d):
 @query("SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(DISTINCT (l_partkey, l_suppkey, l_quantity)) > 1")
 def conflicting_keys(spark, d):
     li = table(spark, d, "lineitem").withColumn("h", json_digest(["l_partkey", "l_suppkey", "l_quantity"]))
-    return li.groupBy("l_orderkey", "l_linenumber").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a <> b").select("l_orderkey", "l_linenumber")
+    keyed = li.select("l_orderkey", "l_linenumber", "h", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"), F.array().cast("array<string>").alias("failed"))
+    return classify(keyed, "key", "h", "failed", [F.col("l_orderkey")]).filter(F.col("status") == CONFLICT).select("l_orderkey", "l_linenumber").distinct()
 
 
 @query("SELECT min(doc_id) AS doc_id, CAST(count(*) AS BIGINT) AS copies FROM documents WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1")
 def exact_duplicates(spark, d):
-    docs = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("h"))
-    return docs.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")).filter("copies > 1").select("doc_id", "copies")
+    docs = table(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", F.sha2("text", 256).alias("h"), F.array().cast("array<string>").alias("failed"))
+    marked = classify(docs, "h", "h", "failed", [F.col("doc_id")])
+    kept = F.min(F.when(F.col("status") == ACCEPTED, F.col("doc_id")))
+    return marked.groupBy("h").agg(kept.alias("doc_id"), F.count_if(F.col("status") == DUPLICATE).alias("extra")).filter("extra > 0").select("doc_id", (F.col("extra") + 1).alias("copies"))
 
 
 def _rejected(spark: SparkSession, d: str) -> DataFrame:
@@ -212,23 +236,25 @@ def _rejected(spark: SparkSession, d: str) -> DataFrame:
     return bad.select(F.lit("orders").alias("dataset"), F.col("k").alias("candidate_entity_key"), "c_status", F.concat_ws("|", F.coalesce("status", F.lit("~")), "price", "day").alias("raw_record"), F.array_sort("failed").alias("failed_rules"))
 
 
-@query(f"WITH {_TYPED} SELECT DISTINCT 'orders' AS dataset, r.k AS candidate_entity_key, concat_ws('|', coalesce(o.status, '~'), o.price, o.day) AS raw_record, array_to_string(list_sort(failed), '|') AS failed_rules FROM r JOIN o USING (o_orderkey) WHERE len(failed) > 0")
+@query(QUARANTINED_PENALTIES)
 def quarantine_projection(spark, d):
-    return _rejected(spark, d).drop("c_status").distinct().withColumn("failed_rules", F.array_join("failed_rules", "|"))
+    """The Silver quarantine of all penalties, as the Bronze-to-Silver pass makes it."""
+    done = transform(table(spark, d, "penalties"), dataset("penalties"), "test-salt", strict_dates=True)
+    return done.quarantine.drop("load_timestamp").withColumn("failed_rules", F.array_join("failed_rules", "|"))
 
 
 @query(f"""WITH {_TYPED}, q AS (SELECT DISTINCT r.k, NULLIF(trim(o.status), '') AS s, array_to_string(list_sort(failed), '|') AS f FROM r JOIN o USING (o_orderkey) WHERE len(failed) > 0)
-SELECT k AS candidate_entity_key, s AS status, f AS failed_rules FROM q a WHERE NOT EXISTS (SELECT 1 FROM q b WHERE CAST(b.k AS BIGINT) % 2 = 0 AND b.k IS NOT DISTINCT FROM a.k AND b.s IS NOT DISTINCT FROM a.s AND b.f IS NOT DISTINCT FROM a.f)""")
+SELECT k AS candidate_entity_key, s AS status, f AS failed_rules FROM q a WHERE NOT EXISTS (SELECT 1 FROM q b WHERE contains(b.f, 'price') AND b.k IS NOT DISTINCT FROM a.k AND b.s IS NOT DISTINCT FROM a.s AND b.f IS NOT DISTINCT FROM a.f)""")
 def idempotent_quarantine(spark, d):
     q = _rejected(spark, d).select("candidate_entity_key", F.col("c_status").alias("status"), "failed_rules")
-    fresh = merge.append_once(q.filter(F.col("candidate_entity_key").cast("bigint") % 2 == 0), q.unionByName(q), ["candidate_entity_key", "status", "failed_rules"])
+    fresh = merge.append_once(q.filter(F.exists("failed_rules", lambda r: r.contains("price"))), q.unionByName(q), ["candidate_entity_key", "status", "failed_rules"])
     return fresh.withColumn("failed_rules", F.array_join("failed_rules", "|"))
 
 
 # ---- merge ------------------------------------------------------------------------------------------------------------
 
-_SIDES = """t AS (SELECT o_orderkey AS k, o_custkey % 10 AS h, CASE WHEN o_orderkey % 11 > 0 THEN CAST(o_orderdate AS DATE) END AS day, o_orderkey % 13 = 0 AS del FROM orders WHERE o_orderkey % 3 <> 0),
-s AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey % 10 ELSE 99 END AS h, CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 - 2 AS INT) END AS day, false AS del FROM orders WHERE o_orderkey % 5 <> 0),
+_SIDES = """t AS (SELECT o_orderkey AS k, o_custkey % 10 AS h, CASE WHEN o_orderkey % 11 > 0 THEN CAST(o_orderdate AS DATE) END AS day, o_orderkey % 13 = 0 AS del FROM orders),
+s AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS k, CASE WHEN o_orderkey % 2 = 0 THEN o_custkey % 10 ELSE 99 END AS h, CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 5 - 2 AS INT) END AS day, false AS del FROM orders),
 j AS (SELECT coalesce(t.k, s.k) AS k, t.h AS th, s.h AS sh, t.day AS td, s.day AS sd, t.del AS tdel, CASE WHEN t.k IS NULL THEN 'INSERT' WHEN s.k IS NULL THEN 'MISSING' WHEN s.h = t.h AND NOT t.del THEN 'KEEP'
   WHEN s.day IS NOT NULL AND (t.day IS NULL OR s.day >= t.day) THEN 'UPDATE' ELSE 'STALE' END AS action FROM t FULL JOIN s ON t.k = s.k)"""
 
@@ -236,9 +262,9 @@ j AS (SELECT coalesce(t.k, s.k) AS k, t.h AS th, s.h AS sh, t.day AS td, s.day A
 def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     o, k = table(spark, d, "orders"), F.col("o_orderkey")
     day = F.to_date("o_orderdate")
-    target = o.filter(k % 3 != 0).select(k.alias("k"), (F.col("o_custkey") % 10).alias("row_hash"), F.when(k % 11 > 0, day).alias("source_processing_date"), (k % 13 == 0).alias("is_deleted"))
+    target = o.select(k.alias("k"), (F.col("o_custkey") % 10).alias("row_hash"), F.when(k % 11 > 0, day).alias("source_processing_date"), (k % 13 == 0).alias("is_deleted"))
     shifted = F.date_add(day, (k % 5 - 2).cast("int"))
-    source = o.filter(k % 5 != 0).select(k.alias("k"), F.when(k % 2 == 0, F.col("o_custkey") % 10).otherwise(99).alias("row_hash"), F.when(k % 7 > 0, shifted).alias("source_processing_date"), F.lit(False).alias("is_deleted"))
+    source = o.select(F.when(k % 5 == 0, -k - 1).otherwise(k).alias("k"), F.when(k % 2 == 0, F.col("o_custkey") % 10).otherwise(99).alias("row_hash"), F.when(k % 7 > 0, shifted).alias("source_processing_date"), F.lit(False).alias("is_deleted"))
     return target, source
 
 
@@ -264,12 +290,13 @@ def soft_delete(spark, d):
     return merge.soft_delete(target, source, "k", F.lit("1998-06-01").cast("date")).select("k", "is_deleted")
 
 
-@query("""WITH a AS (SELECT user_id, max(ts) AS ts FROM events WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT user_id, max(ts) AS ts FROM events WHERE event_id % 3 = 0 GROUP BY 1)
+@query("""WITH a AS (SELECT user_id, max(ts) AS ts FROM events GROUP BY 1), b AS (SELECT user_id + 5 AS user_id, max(ts + INTERVAL 1 DAY) AS ts FROM events GROUP BY 1)
 SELECT coalesce(a.user_id, b.user_id) AS user_id, greatest(a.ts, b.ts) AS ts FROM a FULL JOIN b ON a.user_id = b.user_id""")
 def watermark_monotone(spark, d):
     e = table(spark, d, "events")
-    side = lambda n: e.filter(F.col("event_id") % n == 0).groupBy("user_id").agg(F.max("ts").alias("ts"))
-    return merge.advance_watermarks(side(2), side(3), "user_id", "ts")
+    later = e.select((F.col("user_id") + 5).alias("user_id"), (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"))
+    newest = lambda df: df.groupBy("user_id").agg(F.max("ts").alias("ts"))
+    return merge.advance_watermarks(newest(e), newest(later), "user_id", "ts")
 
 
 # ---- control ----------------------------------------------------------------------------------------------------------
@@ -335,23 +362,44 @@ def reconcile_runs(spark, d):
     return control.reconcile_runs(*_logs(spark, d)).select("dataset", "acquisition_run_id", "complete")
 
 
-@query("""SELECT DISTINCT dataset, window_start, window_end FROM source_file_manifest m WHERE acquisition_strategy = 'api_date_window' AND (window_start IS NOT NULL OR window_end IS NOT NULL) AND EXISTS (
-  SELECT 1 FROM source_file_manifest r WHERE r.acquisition_strategy = 'api_date_window' AND r.dataset = m.dataset AND r.window_start IS NOT DISTINCT FROM m.window_start AND r.window_end IS NOT DISTINCT FROM m.window_end
-  GROUP BY r.acquisition_run_id HAVING count(DISTINCT expected_run_rows) = 1 AND count(*) FILTER (source_rows IS NULL OR status NOT IN ('SUCCESS', 'SKIPPED_ALREADY_ACQUIRED')) = 0 AND sum(source_rows) = max(expected_run_rows)
-  AND count(DISTINCT page_offset) = count(*) AND min(page_offset) = 0 AND max(page_offset) = (count(*) - 1) * 500)""")
+@query(f"""WITH {_CONTROL}, r AS (SELECT dataset, window_start, window_end, acquisition_run_id, max(load_timestamp) AS newest,
+  bool_and(EXISTS (SELECT 1 FROM lg WHERE layer = 'Raw-to-Bronze' AND lg.dataset = m.dataset AND lg.batch_id = m.batch_id)) AS bronze_complete
+  FROM source_file_manifest m WHERE acquisition_strategy = 'api_date_window' AND load_type = 'incremental' AND (window_start IS NOT NULL OR window_end IS NOT NULL) GROUP BY 1, 2, 3, 4
+  HAVING count(DISTINCT expected_run_rows) = 1 AND count(*) FILTER (source_rows IS NULL OR status NOT IN ('SUCCESS', 'SKIPPED_ALREADY_ACQUIRED')) = 0 AND sum(source_rows) = max(expected_run_rows)
+  AND count(DISTINCT page_offset) = count(*) AND min(page_offset) = 0 AND max(page_offset) = (count(*) - 1) * 500)
+SELECT dataset, window_start, window_end, acquisition_run_id, bronze_complete FROM (SELECT *, row_number() OVER (PARTITION BY dataset, window_start, window_end ORDER BY newest DESC, acquisition_run_id DESC) AS rn FROM r) WHERE rn = 1""")
 def complete_api_windows(spark, d):
-    return control.complete_windows(*_logs(spark, d)).select("dataset", "window_start", "window_end")
+    return control.complete_windows(*_logs(spark, d)).drop("paths")
 
 
 @query("SELECT event_id, CAST(ts AS DATE) - 60 AS window_start FROM events")
 def overlap_window(spark, d):
-    return table(spark, d, "events").select("event_id", F.date_sub(F.to_date("ts"), 60).alias("window_start"))
+    """Each event as the only watermark of a dataset of its own."""
+    marks = table(spark, d, "events").select(F.col("event_id").alias("dataset"), F.to_date("ts").alias("watermark_value"), F.col("ts").alias("load_timestamp"))
+    return control.window_starts(marks).select(F.col("dataset").alias("event_id"), "window_start")
 
 
-@query("SELECT landing_path, CAST(max(row_no) - min(row_no) + 1 AS BIGINT) = count(*) AS contiguous FROM landing_records GROUP BY 1")
+@query("SELECT landing_path, min(row_no) = 0 AND max(row_no) = count(*) - 1 AND count(DISTINCT row_no) = count(*) AS contiguous FROM landing_records GROUP BY 1")
 def page_contiguity(spark, d):
-    g = table(spark, d, "landing_records").groupBy("landing_path").agg(F.min("row_no").alias("a"), F.max("row_no").alias("b"), F.count(F.lit(1)).alias("n"))
-    return g.select("landing_path", (F.col("b") - F.col("a") + 1 == F.col("n")).alias("contiguous"))
+    g = table(spark, d, "landing_records").groupBy("landing_path").agg(F.min("row_no").alias("lo"), F.max("row_no").alias("hi"), F.countDistinct("row_no").alias("offsets"), F.count(F.lit(1)).alias("n"))
+    return g.select("landing_path", control.contiguous(F.col("lo"), F.col("hi"), F.col("offsets"), F.col("n"), 1).alias("contiguous"))
+
+
+@query(f"""WITH {_CONTROL}, b AS (SELECT *, row_number() OVER (PARTITION BY dataset, batch_id ORDER BY load_timestamp DESC, acquisition_run_id DESC, landing_path DESC) AS rb FROM source_file_manifest),
+f AS (SELECT dataset, acquisition_run_id, count(DISTINCT batch_id) AS files FROM source_file_manifest WHERE status IN ('SUCCESS', 'SKIPPED_ALREADY_ACQUIRED') GROUP BY 1, 2),
+s AS (SELECT m.dataset, m.batch_id, row_number() OVER (PARTITION BY m.dataset ORDER BY as_of_date DESC, load_timestamp DESC, batch_id DESC) AS r FROM source_file_manifest m
+  WHERE status IN ('SUCCESS', 'SKIPPED_ALREADY_ACQUIRED') AND row_count_validated AND acquisition_strategy IN ('bulk_snapshot', 'snapshot_diff') AND EXISTS (SELECT 1 FROM lg WHERE layer = 'Raw-to-Bronze' AND lg.dataset = m.dataset AND lg.batch_id = m.batch_id)),
+q AS (SELECT DISTINCT dataset, batch_id FROM source_file_manifest WHERE source_bytes % 4 = 0)
+SELECT b.dataset, b.batch_id, array_to_string([x FOR x IN [CASE WHEN NOT coalesce(acquisition_strategy IN ('bulk_snapshot', 'snapshot_diff'), false) THEN 'NO_SNAPSHOT' END,
+  CASE WHEN status NOT IN ('SUCCESS', 'SKIPPED_ALREADY_ACQUIRED') THEN 'NOT_ACQUIRED' END, CASE WHEN NOT coalesce(row_count_validated, false) THEN 'NOT_VALIDATED' END,
+  CASE WHEN files IS DISTINCT FROM 1 THEN 'NOT_ONE_FILE' END, CASE WHEN expected_run_rows IS NULL OR source_rows IS NULL THEN 'COUNTS_UNKNOWN' END, CASE WHEN expected_run_rows <> source_rows THEN 'COUNTS_DIFFER' END,
+  CASE WHEN expected_run_rows = source_rows AND source_rows <= 0 THEN 'EMPTY' END, CASE WHEN EXISTS (SELECT 1 FROM q WHERE q.dataset = b.dataset AND q.batch_id = b.batch_id) THEN 'QUARANTINED_ROWS' END,
+  CASE WHEN NOT EXISTS (SELECT 1 FROM s WHERE r = 1 AND s.dataset = b.dataset AND s.batch_id = b.batch_id) THEN 'NOT_NEWEST' END] IF x IS NOT NULL], '|') AS blockers
+FROM b LEFT JOIN f ON b.dataset = f.dataset AND b.acquisition_run_id = f.acquisition_run_id WHERE rb = 1""")
+def deletion_gate(spark, d):
+    m, logs = _logs(spark, d)
+    held = m.filter(F.col("source_bytes") % 4 == 0).select("dataset", F.col("batch_id").alias("source_batch_id"))
+    return merge.deletion_blockers(m, logs, held).withColumn("blockers", F.array_join("blockers", "|"))
 
 
 # ---- tables, sets, evidence -------------------------------------------------------------------------------------------
@@ -359,16 +407,25 @@ def page_contiguity(spark, d):
 
 @query("SELECT event_id, CASE WHEN user_id % 4 = 2 THEN value * 2 ELSE value END AS value FROM events WHERE user_id % 4 <> 3")
 def batch_replace(spark, d):
-    e = table(spark, d, "events").select("event_id", "value", (F.col("user_id") % 4).alias("b"))
-    new = e.filter("b = 2").withColumn("value", F.col("value") * 2)
-    return e.filter("b NOT IN (2, 3)").unionByName(new).select("event_id", "value")
+    """Four batches written, one replaced by changed rows and one by none, then read back."""
+    schema = "event_id bigint, value double, b string"
+    e = table(spark, d, "events").select("event_id", "value", (F.col("user_id") % 4).cast("string").alias("b"))
+    events = BatchTable(spark, f"{scratch_dir(spark)}/events", spark.createDataFrame([], schema).schema, "b")
+    events.replace_many(e, {b: 1 for b in "0123"})
+    events.replace(e.filter("b = '2'").withColumn("value", F.col("value") * 2), "2")
+    events.replace(e.limit(0), "3")
+    return events.read().select("event_id", "value")
 
 
 @query("SELECT n_nationkey, n_name, NULL::VARCHAR AS note FROM nation WHERE n_regionkey < 2 UNION ALL SELECT n_nationkey, n_name, 'new' FROM nation WHERE n_regionkey >= 2")
 def schema_evolve(spark, d):
+    """A batch with a new column beside one without it."""
     n = table(spark, d, "nation")
-    old, new = n.filter("n_regionkey < 2").select("n_nationkey", "n_name"), n.filter("n_regionkey >= 2").select("n_nationkey", "n_name", F.lit("new").alias("note"))
-    return old.unionByName(new, allowMissingColumns=True)
+    old, new = n.filter("n_regionkey < 2"), n.filter("n_regionkey >= 2").withColumn("note", F.lit("new"))
+    nations = BatchTable(spark, f"{scratch_dir(spark)}/nations", spark.createDataFrame([], "n_nationkey int, n_name string, b string").schema, "b")
+    nations.replace(old.select("n_nationkey", "n_name", F.lit("old").alias("b")), "old")
+    nations.replace(new.select("n_nationkey", "n_name", "note", F.lit("new").alias("b")), "new")
+    return nations.read(evolve=True).drop("b")
 
 
 @query("SELECT r_regionkey, r_name, NULL::INT AS n_nationkey, NULL::VARCHAR AS n_name FROM region UNION ALL SELECT NULL, NULL, n_nationkey, n_name FROM nation")
@@ -390,9 +447,10 @@ def count_distinct_struct(spark, d):
     return li.groupBy("l_returnflag").agg(F.countDistinct(F.struct("l_linenumber", "s")).alias("n"))
 
 
-@query("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT (l_orderkey, l_linenumber)) AS BIGINT) AS distinct_keys, CAST(0 AS BIGINT) AS null_key_rows FROM lineitem")
+@query("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT (l_orderkey, CASE WHEN l_suppkey % 7 > 0 THEN l_linenumber END)) AS BIGINT) AS distinct_keys, CAST(count(*) FILTER (l_suppkey % 7 = 0) AS BIGINT) AS null_key_rows FROM lineitem")
 def key_profile(spark, d):
-    return evidence.key_profile(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+    li = table(spark, d, "lineitem").select("l_orderkey", F.when(F.col("l_suppkey") % 7 > 0, F.col("l_linenumber")).alias("line"))
+    return evidence.key_profile(li, ["l_orderkey", "line"])
 
 
 def _evidence(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -409,9 +467,11 @@ def evidence_conservation(spark, d):
     return evidence.batch_conservation(*_evidence(spark, d))
 
 
-@query("""WITH g AS (SELECT _batch_id AS batch_id, CAST(count(*) AS BIGINT) AS n FROM penalties GROUP BY 1), m AS (SELECT batch_id, max(source_rows) AS r FROM source_file_manifest WHERE status = 'SUCCESS' GROUP BY 1)
-SELECT g.batch_id, g.n AS bronze_rows, m.r AS most_inserted, coalesce(g.n = m.r, false) AS idempotent FROM g LEFT JOIN m ON g.batch_id = m.batch_id""")
+@query("""WITH g AS (SELECT _batch_id AS batch_id, count(*) AS n FROM penalties GROUP BY 1)
+SELECT m.batch_id, CAST(count(*) AS BIGINT) AS attempts, max(m.source_rows) AS expected_rows, CAST(coalesce(any_value(g.n), 0) AS BIGINT) AS bronze_rows, coalesce(coalesce(any_value(g.n), 0) = max(m.source_rows), false) AS idempotent
+FROM source_file_manifest m LEFT JOIN g ON g.batch_id = m.batch_id WHERE m.status = 'SUCCESS' GROUP BY m.batch_id""")
 def evidence_idempotency(spark, d):
+    """Every successful delivery of the manifest as a load: most of its batches are not in this Bronze table, as if they had vanished."""
     logs = table(spark, d, "source_file_manifest").select("batch_id", "status", F.lit("Raw-to-Bronze").alias("pipeline_layer"), F.col("source_rows").alias("rows_inserted"))
     return evidence.rerun_idempotency(table(spark, d, "penalties"), logs)
 
@@ -427,12 +487,13 @@ def silver_summary(spark, d):
     return evidence.table_summary(table(spark, d, "silver_facility"), "cms_certification_number_ccn")
 
 
-@query("""WITH q AS (SELECT dataset, batch_id, min(load_timestamp) AS lt FROM source_file_manifest WHERE status = 'SUCCESS' GROUP BY 1, 2 HAVING count(DISTINCT (landing_path, source_file_sha256)) = 1),
-n AS (SELECT *, row_number() OVER (PARTITION BY dataset, batch_id ORDER BY load_timestamp DESC) AS rn FROM source_file_manifest WHERE status = 'SUCCESS')
-SELECT q.dataset, q.batch_id AS source_batch_id, n.landing_path AS source_file, n.source_file_sha256 FROM q JOIN n ON q.dataset = n.dataset AND q.batch_id = n.batch_id AND rn = 1""")
+@query("""SELECT dataset, batch_id AS source_batch_id, arg_max(landing_path, load_timestamp) AS source_file, lower(arg_max(source_file_sha256, load_timestamp)) AS source_file_sha256
+FROM source_file_manifest WHERE status IN ('SUCCESS', 'SKIPPED_ALREADY_ACQUIRED') GROUP BY 1, 2 HAVING count(DISTINCT (landing_path, lower(source_file_sha256))) = 1""")
 def lineage_reconstruct(spark, d):
-    m = table(spark, d, "source_file_manifest").filter("status = 'SUCCESS'")
-    clear = m.groupBy("dataset", "batch_id").agg(F.countDistinct(F.struct("landing_path", "source_file_sha256")).alias("n"), F.min("load_timestamp").alias("load_timestamp")).filter("n = 1")
+    """The manifest as it is, with failed acquisitions and digests in other letters; a legacy row for each batch with one file."""
+    m = table(spark, d, "source_file_manifest").withColumn("source_file_sha256", F.when(F.col("status") == "SUCCESS", F.upper("source_file_sha256")).otherwise(F.col("source_file_sha256")))
+    file = F.struct("landing_path", F.lower("source_file_sha256"))
+    clear = m.filter(F.col("status").isin(*control.ACQUIRED)).groupBy("dataset", "batch_id").agg(F.countDistinct(file).alias("n"), F.min("load_timestamp").alias("load_timestamp")).filter("n = 1")
     legacy = clear.select("dataset", "batch_id", F.lit("{}").alias("raw_record"), F.array(F.lit("REQUIRED:x")).alias("failed_rules"), "load_timestamp")
     return evidence.rebuild_lineage(legacy, m).select("dataset", "source_batch_id", "source_file", "source_file_sha256")
 
@@ -455,25 +516,27 @@ def csv_roundtrip(spark, d):
 
 @query("SELECT CAST(event_id AS VARCHAR) AS event_id, CASE WHEN event_id % 3 > 0 THEN event_type END AS event_type FROM events")
 def json_envelope(spark, d):
+    """Fifty landed pages, read as pages."""
     folder = f"{scratch_dir(spark)}/json"
     rows = table(spark, d, "events").select((F.col("event_id") % 50).alias("page"), F.struct(F.col("event_id").cast("string").alias("event_id"), F.when(F.col("event_id") % 3 > 0, F.col("event_type")).alias("event_type")).alias("r"))
-    pages = rows.groupBy("page").agg(F.collect_list("r").alias("results")).select(F.struct(F.lit("events").alias("dataset_id"), F.size("results").cast("bigint").alias("rows_in_file")).alias("_meta"), "results")
-    pages.write.mode("overwrite").json(folder)
-    return spark.read.schema(envelope_schema(["event_id", "event_type"])).json(folder).select(F.explode("results").alias("r")).select("r.*")
+    pages = rows.groupBy("page").agg(F.collect_list("r").alias("results"))  # one page of a landed file
+    enveloped = pages.select("page", F.struct(F.lit("events").alias("dataset_id"), F.size("results").cast("bigint").alias("rows_in_file")).alias("_meta"), "results")
+    enveloped.write.mode("overwrite").partitionBy("page").json(folder)
+    return read_page(spark, folder, ["event_id", "event_type"])
 
 
-@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment, c_custkey % 20 > 1 AS good FROM customer")
+@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, CASE WHEN c_custkey % 20 > 0 THEN c_mktsegment END AS c_mktsegment, c_custkey % 20 > 1 AS good FROM customer")
 def corrupt_split(spark, d):
-    """Short and over-long rows land apart from the good ones; their key is still in the raw text."""
-    folder = f"{scratch_dir(spark)}/corrupt"
+    """Landed csv with short and over-long rows: good rows and, from the raw text in the Bronze quarantine, broken ones."""
+    folder, names, none = f"{scratch_dir(spark)}/corrupt", ["c_custkey", "c_mktsegment"], F.lit(None).cast("string")
     k = F.col("c_custkey")
     line = F.when(k % 20 == 0, k.cast("string")).when(k % 20 == 1, F.concat_ws(",", k.cast("string"), "c_mktsegment", F.lit("x"))).otherwise(F.concat_ws(",", k.cast("string"), "c_mktsegment"))
-    table(spark, d, "customer").select(line.alias("value")).write.mode("overwrite").text(folder)
-    parsed = spark.read.schema(text_schema(["c_custkey", "c_mktsegment"], corrupt=True)).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).csv(folder).cache()
-    good = parsed.filter(F.col(CORRUPT).isNull()).select("c_custkey", "c_mktsegment", F.lit(True).alias("good"))
-    bad = parsed.filter(F.col(CORRUPT).isNotNull()).select(F.substring_index(CORRUPT, ",", 1).alias("c_custkey"), F.lit(False).alias("good"))
-    back = table(spark, d, "customer").select(k.cast("string").alias("c_custkey"), "c_mktsegment")
-    return good.unionByName(bad.join(back, "c_custkey").select("c_custkey", "c_mktsegment", "good"))
+    table(spark, d, "customer").select(line.alias(",".join(names))).write.mode("overwrite").options(header=True, sep="\x01", quote="").csv(folder)
+    parsed = cut_lineage(read_csv(spark, folder, names))  # with all columns, as widths are told by them
+    good = parsed.filter(F.col(CORRUPT).isNull()).select(*names, F.lit(True).alias("good"))
+    bad = quarantined(parsed.filter(F.col(CORRUPT).isNotNull()), names, F.lit("customer"), none, none, none, none, none)
+    fields = F.split("corrupt_record", ",")
+    return good.unionByName(bad.select(F.get(fields, F.lit(0)).alias("c_custkey"), F.get(fields, F.lit(1)).alias("c_mktsegment"), F.lit(False).alias("good")))
 
 
 # ---- planned star schema, our own design --------------------------------------------------------------------------------
@@ -501,12 +564,113 @@ def silver_penalties(spark: SparkSession, d: str) -> DataFrame:
     return done.classified.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(SILVER_DEFICIENCIES)
 def silver_deficiencies(spark: SparkSession, d: str) -> DataFrame:
     """The accepted rows of all health deficiencies, typed and keyed."""
-    return transform(table(spark, d, "health_deficiencies"), dataset("health_deficiencies"), "test-salt").silver.drop("load_timestamp")
-
-
-QUERIES |= {"silver_penalties": silver_penalties, "silver_deficiencies": silver_deficiencies}
+    done = transform(table(spark, d, "health_deficiencies"), dataset("health_deficiencies"), "test-salt", strict_dates=True)
+    return done.silver.drop("load_timestamp", "source_file", "source_file_sha256", "source_batch_id")
+
+
+@query(SILVER_PROVIDERS)
+def silver_providers(spark: SparkSession, d: str) -> DataFrame:
+    """All of provider_info through the Bronze-to-Silver pass: rows per status. Columns the table lacks are null."""
+    spec = dataset("provider_info")
+    rows = table(spark, d, "provider_info")
+    rows = rows.withColumns({c: F.lit(None).cast("string") for c in spec.rules.source if c not in rows.columns})
+    return transform(rows, spec, "test-salt", strict_dates=True).classified.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def silver_mds_quality(spark: SparkSession, d: str) -> DataFrame:
+    """The landed files of mds_quality, drifting names resolved, as Bronze text through the Bronze-to-Silver pass: rows per status."""
+    spec = dataset("mds_quality")
+    landing, files = problems.landing(spark, d)
+    _, canon = drift_report(landing, files, problems.KINDS, problems.IDENTITY)
+    rows = consistent_table(landing, files, canon, spec.name, dict.fromkeys(spec.rules.source, ""))
+    newest = table(spark, d, "source_file_manifest").groupBy(F.col("landing_path").alias("path")).agg(F.max_by(F.struct("batch_id", "source_file_sha256"), "load_timestamp").alias("m"))
+    stamp = {
+        "_dataset_id": F.lit(spec.dataset_id), "_source_file": F.col("path"), "_source_file_sha256": F.col("m.source_file_sha256"), "_batch_id": F.col("m.batch_id"), "_load_type": F.lit("full"),
+        "_ingest_date": F.lit(None).cast("date"), "load_timestamp": F.current_timestamp(),
+    }
+    bronze = rows.join(newest, "path").withColumns(stamp)
+    return transform(bronze, spec, "test-salt", strict_dates=True).classified.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES |= {"silver_penalties": silver_penalties, "silver_mds_quality": silver_mds_quality}
+
+
+def _landed_files(spark: SparkSession, d: str, folder: str, tables: list[str]) -> list[dict]:
+    """All rows of tables as landed csv files, one for each part the table is written in; one key is in one file."""
+    rows = []
+    for name in tables:
+        spec = dataset(name)
+        source = table(spark, d, name).select(*spec.rules.source).repartition(2, "cms_certification_number_ccn")
+        path = f"{folder}/{name}"
+        source.write.options(header=True, quote='"', escape='"', quoteAll=True, emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+        files = [f"{path}/{n}" for n in Storage(spark, path).names() if n.endswith(".csv")]
+        total = source.count()
+        for f in files:
+            digest, size = file_digest(f)
+            rows.append({
+                "acquisition_run_id": f"run-{name}", "dataset": name, "dataset_id": spec.dataset_id, "load_type": "full", "as_of_date": dt.date(2024, 1, 1), "acquisition_strategy": "bulk_snapshot", "source_url": "u",
+                "landing_path": f, "batch_id": digest[:24], "source_content_sha256": digest, "source_file_sha256": digest, "source_bytes": size, "expected_run_rows": total, "row_count_validated": False,
+                "status": "SUCCESS", "load_timestamp": dt.datetime(2024, 1, 2),
+            })
+    return rows
+
+
+def _loaded(spark: SparkSession, d: str, tables: list[str]) -> Lake:
+    lake = Lake(spark, scratch_dir(spark))
+    lake.ensure()
+    lake.manifest.append(lake.rows(_landed_files(spark, d, f"{lake.root}/landing", tables), MANIFEST_SCHEMA))
+    run_bronze(lake, "bronze-1")
+    return lake
+
+
+def _one_row(*counts: DataFrame) -> DataFrame:
+    """One row of counts from several rows of one."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counts)
+    return rows.agg(*(F.sum(c).alias(c) for c in rows.columns))
+
+
+_BOTH = ["penalties", "health_deficiencies"]
+
+
+@query("""SELECT 'penalties' AS dataset, CAST(count(*) AS BIGINT) AS rows_read, CAST(count(*) AS BIGINT) AS rows_inserted, CAST(count(*) AS BIGINT) AS bronze_rows, true AS validated, DATE '2024-01-01' AS watermark_value FROM penalties
+UNION ALL SELECT 'health_deficiencies', count(*), count(*), count(*), true, DATE '2024-01-01' FROM health_deficiencies""")
+def bronze_run(spark, d):
+    """All rows of two datasets as landed files through the Bronze pipeline: counts of log, table, manifest and watermark."""
+    lake = _loaded(spark, d, _BOTH)
+    logged = lake.logs.read().groupBy("dataset").agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_inserted").alias("rows_inserted"))
+    held = [lake.bronze(dataset(n)).read().groupBy(F.lit(n).alias("dataset")).agg(F.count(F.lit(1)).alias("bronze_rows")) for n in _BOTH]
+    closed = lake.manifest.read().groupBy("dataset").agg(F.bool_and("row_count_validated").alias("validated"))
+    marks = lake.watermarks.read().select("dataset", "watermark_value")
+    return logged.join(held[0].unionByName(held[1]), "dataset").join(closed, "dataset").join(marks, "dataset")
+
+
+_PENALTY_COUNTS = """c AS (SELECT count(*) AS n, count(*) FILTER (status = 'ACCEPTED') AS ok, count(*) FILTER (status IN ('INVALID', 'CONFLICT')) AS bad FROM a)"""
+
+
+@query(f"{PENALTY_STATUSES}, {_PENALTY_COUNTS} SELECT CAST(n AS BIGINT) AS rows_read, CAST(ok AS BIGINT) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, CAST(bad AS BIGINT) AS rows_quarantined, CAST(ok AS BIGINT) AS silver_rows FROM c")
+def silver_run(spark, d):
+    """All penalties as landed files through both pipelines: what the audit rows say and what Silver holds."""
+    lake = _loaded(spark, d, ["penalties"])
+    run_silver(lake, "silver-1", "test-salt", strict_dates=True)
+    done = lake.logs.read().filter("pipeline_layer = 'Bronze-to-Silver'").agg(*(F.sum(c).alias(c) for c in ("rows_read", "rows_inserted", "rows_updated", "rows_quarantined")))
+    return _one_row(done, lake.silver(dataset("penalties")).read().agg(F.count(F.lit(1)).alias("silver_rows")))
+
+
+@query(f"{PENALTY_STATUSES}, {_PENALTY_COUNTS} SELECT CAST(0 AS BIGINT) AS rows_inserted, CAST(0 AS BIGINT) AS rows_updated, CAST(n AS BIGINT) AS bronze_rows, CAST(ok AS BIGINT) AS silver_rows, true AS same_versions FROM c")
+def rerun_changes_nothing(spark, d):
+    """Both pipelines again over the same files: nothing is inserted or updated, no version is added."""
+    lake, spec = _loaded(spark, d, ["penalties"]), dataset("penalties")
+    run_silver(lake, "silver-1", "test-salt", strict_dates=True)
+    before = (lake.silver(spec).version(), lake.silver_quarantine.version())
+    run_bronze(lake, "bronze-2", reprocess=True)
+    run_silver(lake, "silver-2", "test-salt", reprocess=True, strict_dates=True)
+    same = (lake.silver(spec).version(), lake.silver_quarantine.version()) == before
+    done = lake.logs.read().filter("run_id = 'silver-2'").agg(F.sum("rows_inserted").alias("rows_inserted"), F.sum("rows_updated").alias("rows_updated"))
+    counts = [lake.bronze(spec).read().agg(F.count(F.lit(1)).alias("bronze_rows")), lake.silver(spec).read().agg(F.count(F.lit(1)).alias("silver_rows"))]
+    return _one_row(done, *counts).withColumn("same_versions", F.lit(same))
 
 
 # ---- relational primitives of the inventory, one query each ---------------------------------------------------------------
@@ -525,9 +689,11 @@ def struct_expansion(spark, d):
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('O', 'P') AND CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'")
 def batch_slice(spark, d):
-    day = F.to_date("o_orderdate")
-    o = table(spark, d, "orders").filter(F.col("o_orderstatus").isin("O", "P"))
-    return o.filter((day >= F.lit("1996-01-01").cast("date")) & (day <= F.lit("1996-12-31").cast("date"))).select("o_orderkey")
+    """Orders as batches by their status; two batches between two dates."""
+    rows = table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("_ingest_date"), F.col("o_orderstatus").alias("_batch_id"))
+    orders = BatchTable(spark, f"{scratch_dir(spark)}/orders", rows.schema)
+    orders.replace_many(rows, {})
+    return orders.slice("O", "_ingest_date", "1996-01-01", "1996-12-31").unionByName(orders.slice("P", "_ingest_date", "1996-01-01", "1996-12-31")).select("o_orderkey")
 
 
 @query("SELECT o_orderkey, coalesce(CASE WHEN o_custkey % 3 > 0 THEN o_orderstatus END = 'O', false) AS is_open FROM orders")
@@ -588,12 +754,31 @@ def first_wins_map(spark, d):
 
 @query("SELECT o_orderkey, coalesce(CASE WHEN o_custkey % 4 > 0 THEN CAST(o_orderdate AS DATE) END, DATE '1992-01-01') AS window_end FROM orders")
 def additive_backfill(spark, d):
-    old = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 4 > 0, F.to_date("o_orderdate")).alias("window_end"))
-    return old.select("o_orderkey", F.coalesce("window_end", F.lit("1992-01-01").cast("date")).alias("window_end"))
+    """A table gains a column that is computed from an old one where it has a value."""
+    old = table(spark, d, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 4 > 0, F.to_date("o_orderdate")).alias("day"))
+    orders = VersionedTable(spark, f"{scratch_dir(spark)}/orders", old.schema)
+    orders.append(old)
+    orders.add_columns([T.StructField("window_end", T.DateType())], {"window_end": F.coalesce("day", F.lit("1992-01-01").cast("date"))})
+    return orders.read().select("o_orderkey", "window_end")
 
 
 @query("SELECT batch_id, landing_path, CASE WHEN status = 'SUCCESS' AND dataset = 'penalties' THEN 500 ELSE source_rows END AS source_rows FROM source_file_manifest WHERE NOT coalesce(status = 'FAILURE', false)")
 def keyed_update_and_delete(spark, d):
-    m = table(spark, d, "source_file_manifest").filter(~F.coalesce(F.col("status") == "FAILURE", F.lit(False)))
-    hit = (F.col("status") == "SUCCESS") & (F.col("dataset") == "penalties")
-    return m.select("batch_id", "landing_path", F.when(hit, F.lit(500)).otherwise(F.col("source_rows")).cast("bigint").alias("source_rows"))
+    m = table(spark, d, "source_file_manifest").select("batch_id", "landing_path", "status", "dataset", "source_rows")
+    manifest = VersionedTable(spark, f"{scratch_dir(spark)}/manifest", m.schema)
+    manifest.append(m)
+    manifest.update((F.col("status") == "SUCCESS") & (F.col("dataset") == "penalties"), {"source_rows": F.lit(500).cast("bigint")})
+    manifest.delete(F.col("status") == "FAILURE")
+    return manifest.read().select("batch_id", "landing_path", "source_rows")
+
+
+@query("""SELECT operation, CAST(n AS BIGINT) AS n FROM (SELECT 'inserted' AS operation, count(*) AS n FROM source_file_manifest UNION ALL SELECT 'updated', count(*) FILTER (status = 'SUCCESS' AND dataset = 'penalties') FROM source_file_manifest
+UNION ALL SELECT 'deleted', count(*) FILTER (status = 'FAILURE') FROM source_file_manifest)""")
+def table_history(spark, d):
+    """What the history of a table says about its changes."""
+    m = table(spark, d, "source_file_manifest").select("status", "dataset", "source_rows")
+    manifest = VersionedTable(spark, f"{scratch_dir(spark)}/manifest", m.schema)
+    manifest.append(m)
+    manifest.update((F.col("status") == "SUCCESS") & (F.col("dataset") == "penalties"), {"source_rows": F.lit(500).cast("bigint")})
+    manifest.delete(F.col("status") == "FAILURE")
+    return manifest.history().select(F.explode("counts").alias("operation", "n"))

@@ -67,12 +67,15 @@ ev AS (
   UNION ALL SELECT 'penalties', record_id, {ccn}, {pn} FROM penalties)
 """
 
-P3 = f"""WITH {_SNAPSHOTS}, {_EVENTS.format(ccn=_CCN.format(c='cms_certification_number_ccn'), hd='processing_date', pn='processing_date')},
+_P3 = f"""WITH {_SNAPSHOTS}, {_EVENTS.format(ccn=_CCN.format(c='cms_certification_number_ccn'), hd='processing_date', pn='processing_date')},
 p AS (SELECT DISTINCT {_CCN.format(c='cms_certification_number_ccn')} AS ccn, idx FROM provider_info JOIN snap ON _batch_id = batch_id),
 s AS (SELECT ccn, min(idx) AS lo, max(idx) AS hi FROM p GROUP BY 1),
 e AS (SELECT ev.*, (SELECT max(idx) FROM cal WHERE as_of_date <= CAST(trim(day) AS DATE)) AS idx FROM ev WHERE ccn IS NOT NULL)
-SELECT DISTINCT e.source_table, e.record_id, CASE WHEN s.lo < e.idx THEN 'DELETED' WHEN s.hi > coalesce(e.idx, -1) THEN 'LATE' ELSE 'MISSING' END AS reason
+{{what}}
 FROM e LEFT JOIN p ON e.ccn = p.ccn AND e.idx = p.idx LEFT JOIN s ON e.ccn = s.ccn WHERE p.ccn IS NULL"""
+_REASON = "CASE WHEN s.lo < e.idx THEN 'DELETED' WHEN s.hi > coalesce(e.idx, -1) THEN 'LATE' ELSE 'MISSING' END AS reason"
+P3_REPORT = _P3.replace("{what}", f"SELECT e.source_table, strftime(CAST(trim(day) AS DATE), '%Y-%m') AS period, {_REASON}, CAST(count(*) AS BIGINT) AS n") + " GROUP BY ALL"
+P3 = _P3.replace("{what}", f"SELECT DISTINCT e.source_table, e.record_id, {_REASON}")
 
 _DAY = "CASE WHEN regexp_full_match(trim({d}), '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN TRY_CAST(trim({d}) AS DATE) WHEN regexp_full_match(trim({d}), '\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}') THEN TRY_CAST(split_part(trim({d}), '/', 3) || '-' || lpad(split_part(trim({d}), '/', 1), 2, '0') || '-' || lpad(split_part(trim({d}), '/', 2), 2, '0') AS DATE) END"
 
@@ -113,4 +116,4 @@ f AS (
   UNION ALL SELECT t, c, b, 'RANGE' FROM l WHERE c = 'fine_amount' AND (lo < 0 OR hi > 10 * ph))
 SELECT t AS source_table, c AS column_name, b AS batch_id, f AS finding FROM f"""
 
-SQL = {"p1_found": P1, "p2_found": P2, "p3_found": P3, "p4_found": P4, "p6_found": P6}
+SQL = {"p1_found": P1, "p2_found": P2, "p3_found": P3, "p3_report": P3_REPORT, "p4_found": P4, "p6_found": P6}
