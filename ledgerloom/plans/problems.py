@@ -11,9 +11,9 @@ from ledgerloom.operators.deliveries import full_delivery_batches, newest_non_bl
 from ledgerloom.functions.rules import judge
 from ledgerloom.operators.drift import Landing, consistent_table, drift_report, land, ordered_files, reading_problems
 from ledgerloom.operators.history import version_history
-from ledgerloom.operators.profile import HISTOGRAM, VALIDITY, grouped_median, load_histogram, share
+from ledgerloom.operators.profile import HISTOGRAM, VALIDITY, grouped_median, load_histogram, share, table_profile
 from ledgerloom.operators.record_parser import parse_records
-from ledgerloom.operators.references import PARTIAL, orphan_references
+from ledgerloom.operators.references import PARTIAL, orphan_references, orphan_report
 from ledgerloom.operators.snapshot_diff import comparable, content_hash, snapshot_changes
 from ledgerloom.session import bounded_broadcast, cut_lineage, table
 from ledgerloom.spec import DATASETS, REGISTRY, silver_kinds
@@ -65,7 +65,7 @@ def _events(spark: SparkSession, sf_dir: str, day: dict[str, str]) -> DataFrame:
     return one("health_deficiencies", day["health_deficiencies"]).unionByName(one("penalties", day["penalties"]))
 
 
-def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = _provider_batches(spark, sf_dir)
     parents = (
         table(spark, sf_dir, "provider_info")
@@ -82,9 +82,17 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     # day refers to the CCN in any snapshot: its key is partly null.
     dates = F.array(*(F.lit(d) for _, d in calendar)) if calendar else F.array().cast("array<date>")
     snapshot = F.when(F.col("day").isNotNull(), F.size(F.filter(dates, lambda d: d <= F.col("day"))) - 1)
-    refs = rows.filter(F.col("ccn").isNotNull()).select("source_table", "record_id", "ccn", snapshot.alias("idx"))
-    orphans = orphan_references(refs, parents, ["ccn", "idx"], period="idx", entity="ccn", match=PARTIAL, nullable=["idx"])
-    return orphans.select("source_table", "record_id", "reason").distinct()
+    refs = rows.filter(F.col("ccn").isNotNull()).select("source_table", "record_id", "ccn", snapshot.alias("idx"), "day")
+    return orphan_references(refs, parents, ["ccn", "idx"], period="idx", entity="ccn", match=PARTIAL, nullable=["idx"])
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _orphans(spark, sf_dir).select("source_table", "record_id", "reason").distinct()
+
+
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphans per table, release month and kind; every row counts."""
+    return orphan_report(_orphans(spark, sf_dir), "source_table", F.date_format("day", "yyyy-MM"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,11 +127,11 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records apart from the broken ones, with their fields."""
-    return classified_records(spark, sf_dir).filter(F.size("reasons") == 0).select("line_id", "dataset", "fields")
+    """The records apart from the broken ones, with their fields as one JSON array."""
+    return classified_records(spark, sf_dir).filter(F.size("reasons") == 0).select("line_id", "dataset", F.to_json("fields", {"ignoreNullFields": "false"}).alias("fields"))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_valid": p5_valid}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p3_report": p3_report, "p4_found": p4_found, "p5_found": p5_found, "p5_valid": p5_valid}
 
 
 #: What is asked of each column, the pattern of its valid values and the thresholds of the findings.
@@ -180,33 +188,46 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("source_table", F.col("column").alias("column_name"), "batch_id", F.explode(found).alias("finding"))
 
 
-QUERIES["p6_found"] = p6_found
+#: Patterns of the columns that have one, by which the profile counts violations.
+PATTERNS = {
+    "scope_severity_code": VALID["scope_severity_code"], "zip_code": VALID["zip_code"], "fine_amount": VALID["fine_amount"], "state": "[A-Za-z]{2}", "deficiency_tag_number": "[0-9]{4}",
+    "cms_certification_number_ccn": "[0-9A-Za-z]{6}", "processing_date": r"[0-9]{4}-[0-9]{2}-[0-9]{2}",
+}
+
+
+def p6_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every column of both tables, per load and against the load before it."""
+    parts = [table_profile(spark, f"{sf_dir}/{t}.parquet", "_batch_id", "processing_date", PATTERNS).select(F.lit(t).alias("source_table"), "*") for t in PROFILED]
+    return parts[0].unionByName(parts[1])
+
+
+QUERIES |= {"p6_found": p6_found, "p6_profile": p6_profile}
 
 
-def _landing(spark: SparkSession, sf_dir: str) -> tuple[Landing, DataFrame]:
-    landing = land(table(spark, sf_dir, "landing_records"), "landing_path", "row_no", "record")
-    return landing, cut_lineage(ordered_files(table(spark, sf_dir, "source_file_manifest"), landing))
+def landing(spark: SparkSession, sf_dir: str) -> tuple[Landing, DataFrame]:
+    landed = land(table(spark, sf_dir, "landing_records"), "landing_path", "row_no", "record")
+    return landed, cut_lineage(ordered_files(table(spark, sf_dir, "source_file_manifest"), landed))
 
 
-_KINDS = {d: silver_kinds(s) for d, s in DATASETS.items()}
-_IDENTITY = {d: s.key for d, s in REGISTRY.items()}
+KINDS = {d: silver_kinds(s) for d, s in DATASETS.items()}
+IDENTITY = {d: s.key for d, s in REGISTRY.items()}
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report, _ = drift_report(*_landing(spark, sf_dir), _KINDS, _IDENTITY)
+    report, _ = drift_report(*landing(spark, sf_dir), KINDS, IDENTITY)
     return report.select(F.col("path").alias("landing_path"), "drift_type", "column_name").distinct()
 
 
 def p7_penalties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files of one dataset as one consistent, typed table."""
-    landing, files = _landing(spark, sf_dir)
-    _, canon = drift_report(landing, files, _KINDS, _IDENTITY)
-    return consistent_table(landing, files, canon, "penalties", _KINDS["penalties"])
+    landed, files = landing(spark, sf_dir)
+    _, canon = drift_report(landed, files, KINDS, IDENTITY)
+    return consistent_table(landed, files, canon, "penalties", KINDS["penalties"])
 
 
 def p7_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of the files could not be read as it stands."""
-    return reading_problems(*_landing(spark, sf_dir)).select(F.col("path").alias("landing_path"), "problem", "rows")
+    return reading_problems(*landing(spark, sf_dir)).select(F.col("path").alias("landing_path"), "problem", "rows")
 
 
 QUERIES |= {"p7_found": p7_found, "p7_penalties": p7_penalties, "p7_problems": p7_problems}
