@@ -38,12 +38,12 @@ def numeric_key(c: Column | str) -> Column:
 def flexible_date(c: Column | str) -> Column:
     """``YYYY-MM-DD`` or month/day/year, surrounding blanks ignored; anything else, or no real day, is null."""
     t = blank_to_null(c)
-    us = F.regexp_extract(t, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 0)
+    us = F.regexp_extract(t, r"^(\d{1,2})/(\d{1,2})/(\d{4})\z", 0)
     parts = F.split(us, "/")
     iso = F.when(
         us != "",
         F.concat_ws("-", F.get(parts, F.lit(2)), F.lpad(F.get(parts, F.lit(0)), 2, "0"), F.lpad(F.get(parts, F.lit(1)), 2, "0")),
-    ).when(t.rlike(r"^\d{4}-\d{2}-\d{2}$"), t)
+    ).when(t.rlike(r"^\d{4}-\d{2}-\d{2}\z"), t)
     return iso.try_cast("date")
 
 

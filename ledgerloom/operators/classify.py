@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.keys import entity_key, json_digest, salted_digest, severity_group
 from ledgerloom.functions.rules import judge
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import cut_lineage, spread
 from ledgerloom.spec import BRONZE_METADATA, LINEAGE, DatasetSpec
 
 INVALID, CONFLICT, DUPLICATE, ACCEPTED = "INVALID", "CONFLICT", "DUPLICATE", "ACCEPTED"
@@ -31,9 +31,13 @@ def classify(df: DataFrame, key: str, digest: str, failed: str, order: list[Colu
     """
     names = [c for c in df.columns if c != "status"]
     rows = cut_lineage(df.select(*names, F.monotonically_increasing_id().alias("_row"), F.coalesce((F.size(failed) == 0) & F.col(key).isNotNull(), F.lit(False)).alias("_valid"), F.coalesce(F.col(digest).cast("string"), F.lit("")).alias("_digest"), F.struct(*(o.alias(f"o{i}") for i, o in enumerate(order))).alias("_order")))
-    groups = rows.filter("_valid").groupBy(F.col(key).alias("_key"), "_digest").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("_order", "_row"))["_row"].alias("_first"))
-    contested = groups.groupBy("_key").agg((F.min("_digest") != F.max("_digest")).alias("_contested")).filter("_contested")
-    again = cut_lineage(groups.join(contested, "_key", "left").filter("_n > 1 OR _contested").select("_key", "_digest", "_first", "_contested", F.lit(True).alias("_valid")))
+    good = rows.filter("_valid")
+    groups = good.groupBy(F.col(key).alias("_key"), "_digest").agg(F.count(F.lit(1)).alias("_n"))
+    contested = groups.groupBy("_key").agg(F.count(F.lit(1)).alias("_digests")).filter("_digests > 1").select("_key", F.lit(True).alias("_contested"))
+    crowded = cut_lineage(groups.join(contested, "_key", "left").filter("_n > 1 OR _contested").select("_key", "_digest", "_contested", F.lit(True).alias("_valid")))
+    equal = good.select(F.col(key).alias("_key"), "_digest", F.struct("_order", "_row").alias("_place")).join(crowded.filter("_contested IS NULL").select("_key", "_digest"), ["_key", "_digest"])
+    firsts = equal.groupBy("_key", "_digest").agg(F.min("_place")["_row"].alias("_first"))
+    again = crowded.join(firsts, ["_key", "_digest"], "left")
     status = (
         F.when(~F.col("_valid"), INVALID).when(F.col("_contested"), CONFLICT).when(F.col("_first") != F.col("_row"), DUPLICATE).otherwise(ACCEPTED)
     )
@@ -70,7 +74,7 @@ def transform(bronze: DataFrame, spec: DatasetSpec, salt: str, strict_dates: boo
     if missing:
         raise ValueError(f"Bronze lacks {', '.join(missing)}")
     seen = Observation()
-    counted = bronze.select(*rules.source, *BRONZE_METADATA).observe(seen, F.count(F.lit(1)).alias("rows"))
+    counted = spread(bronze.select(*rules.source, *BRONZE_METADATA)).observe(seen, F.count(F.lit(1)).alias("rows"))
     judged = judge(counted, rules, prefix="s_", strict_dates=strict_dates)
     business = [c for c in silver_columns(spec) if c != spec.entity_key]
     derived = {"provider_address_hash": salted_digest(F.col("s_c_provider_address"), salt), "severity_group": severity_group(F.col("s_v_scope_severity_code")) if "severity_group" in business else None}

@@ -88,6 +88,19 @@ class BronzeRun:
     reconciled: list[dict] = field(default_factory=list)
 
 
+#: Schemas of what a run reports.
+LOADED = "acquisition_run_id string, dataset string, batch_id string, status string, rows_read bigint, rows_inserted bigint, rows_quarantined bigint, added_columns array<string>"
+FAILED = "acquisition_run_id string, dataset string, batch_id string, source_file string, error string"
+RECONCILED = "dataset string, acquisition_run_id string, complete boolean, expected_rows bigint, parsed_rows bigint, watermark_value date, problem string"
+PROCESSED = "dataset string, batch_id string, rows_read bigint, rows_inserted bigint, rows_updated bigint, rows_deleted bigint, rows_quarantined bigint, rows_stale bigint, statuses map<string,bigint>, blockers array<string>"
+
+
+def report(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """Rows of a run as an ordered frame of a declared schema, also where there are none."""
+    names = T._parse_datatype_string(schema).names
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema).orderBy("dataset", *(n for n in ("acquisition_run_id", "batch_id") if n in names))
+
+
 def _drift_rows(found: Assessment, item: dict, run_id: str) -> list[dict]:
     base = {"run_id": run_id, "batch_id": item["batch_id"], "dataset": item["dataset"], "source_file": item["landing_path"], "source_file_sha256": item["source_file_sha256"], "load_timestamp": _now()}
     return [base | {"drift_type": kind, "column_name": name or None, "detail": detail} for kind, name, detail in found.records()]

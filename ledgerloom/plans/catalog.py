@@ -25,7 +25,7 @@ from ledgerloom.operators.versioned import BatchTable, VersionedTable
 from ledgerloom.pipeline import Lake, run_bronze, run_silver
 from ledgerloom.plans import problems
 from ledgerloom.plans.rule_sql import PENALTY_STATUSES, QUARANTINED_PENALTIES, SILVER_DEFICIENCIES, SILVER_PROVIDERS
-from ledgerloom.session import cut_lineage, scratch_dir, table
+from ledgerloom.session import cut_lineage, scratch_dir, spread, table
 from ledgerloom.sources.files import CORRUPT, file_digest, quarantined, read_csv, read_page
 from ledgerloom.sources.storage import Storage
 from ledgerloom.spec import dataset
@@ -200,7 +200,7 @@ def address_hash(spark, d):
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.array().cast("array<string>").alias("failed"))
+    li = spread(table(spark, d, "lineitem")).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.array().cast("array<string>").alias("failed"))
     again = li.filter("l_suppkey % 9 = 0")
     both = li.unionByName(again)
     return both.withColumn("key", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))).withColumn("digest", json_digest(["l_partkey", "l_suppkey"]))
@@ -218,7 +218,7 @@ def classify_conservation(spark, d):
 
 @query("SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY ALL HAVING count(DISTINCT (l_partkey, l_suppkey, l_quantity)) > 1")
 def conflicting_keys(spark, d):
-    li = table(spark, d, "lineitem").withColumn("h", json_digest(["l_partkey", "l_suppkey", "l_quantity"]))
+    li = spread(table(spark, d, "lineitem")).withColumn("h", json_digest(["l_partkey", "l_suppkey", "l_quantity"]))
     keyed = li.select("l_orderkey", "l_linenumber", "h", F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"), F.array().cast("array<string>").alias("failed"))
     return classify(keyed, "key", "h", "failed", [F.col("l_orderkey")]).filter(F.col("status") == CONFLICT).select("l_orderkey", "l_linenumber").distinct()
 

@@ -58,6 +58,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 6
     return F.broadcast(df) if seen["n"] <= max_rows and seen["b"] <= max_bytes else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, over all cores where it is read in fewer partitions than that: a file with one row group is read by one task.
+
+    Larger inputs have more partitions and are left alone, so nothing is shuffled at scale. Frames that are shuffled
+    anyway are left alone too: counting their partitions would compute them.
+    """
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    if any(word in plan for word in ("Join", "Aggregate", "Window", "Sort", "Exchange", "Repartition", "Union")):
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder for written intermediates, beside the checkpoints in the shared folder."""
     ensure_checkpoint_dir(spark)

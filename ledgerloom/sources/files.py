@@ -224,10 +224,15 @@ def load_file(spark: SparkSession, item: Landed, spec: DatasetSpec) -> Loaded:
     return done
 
 
-def split_by_cutoff(df: DataFrame, folder: str, date: str, cutoff: str, rows_per_file: int) -> None:
-    """Csv parts with repeated header: rows before the cut-off, and those without a readable date, are kept."""
+def split_by_cutoff(df: DataFrame, folder: str, date: str, cutoff: str, bytes_per_file: int) -> None:
+    """Csv parts of at most ``bytes_per_file`` bytes (one row at least) with repeated header: rows before the cut-off, and
+    those without a readable date, are kept."""
     from ledgerloom.functions.values import flexible_date
 
     day = flexible_date(date)
     kept = df.filter(day.isNull() | (day < F.lit(cutoff).cast("date")))
-    kept.write.mode("overwrite").options(header=True, quote='"', escape='"', maxRecordsPerFile=rows_per_file).csv(folder)
+    quoted = sum((F.octet_length(F.coalesce(F.replace(F.col(c).cast("string"), F.lit('"'), F.lit('""')), F.lit(""))) + 3 for c in df.columns), F.lit(1))
+    longest = kept.agg(F.coalesce(F.max(quoted), F.lit(1)).alias("n")).first()["n"]  # so many bytes a row may take, quotes, commas and line break included
+    head = sum(len(c.encode()) + 3 for c in df.columns) + 1
+    rows = max(1, (bytes_per_file - head) // longest)
+    kept.write.mode("overwrite").options(header=True, quote='"', escape='"', maxRecordsPerFile=rows).csv(folder)

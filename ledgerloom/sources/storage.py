@@ -33,9 +33,9 @@ class Storage:
     @property
     def local(self) -> Path | None:
         """The folder as a local path, if that is what it is."""
-        if "://" in self.root or not self._fs.getScheme() == "file":
-            return None
-        return Path(self.root.removeprefix("file:"))
+        if self.root.startswith("file:"):
+            return Path("/" + self.root[5:].lstrip("/"))
+        return None if "://" in self.root or self._fs.getScheme() != "file" else Path(self.root)
 
     def exists(self, name: str = "") -> bool:
         return self._fs.exists(self._path(name))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import control, evidence, merge
 from ledgerloom.operators.audit import LEGACY_QUARANTINE_SCHEMA, MANIFEST_SCHEMA
 from ledgerloom.operators.versioned import VersionedTable
-from ledgerloom.pipeline import Lake, PipelineFailed, run_bronze, run_silver
+from ledgerloom.pipeline import FAILED, LOADED, PROCESSED, RECONCILED, Lake, PipelineFailed, report, run_bronze, run_silver
 from ledgerloom.spec import PENALTY_COLUMNS, PROVIDER_COLUMNS, dataset
 
 D, T0 = dt.date, dt.datetime(2024, 3, 1)
@@ -76,6 +76,8 @@ def test_files_fail_alone_and_complete_runs_are_committed(spark, tmp_path, lake)
     assert {r["status"] for r in lake.logs.read().collect()} == {"SUCCESS", "FAILURE", "QUARANTINED_PARTIAL"}
     assert lake.bronze(dataset("penalties")).read(evolve=True).count() == 4 and lake.bronze_quarantine.read().count() == 1
     assert evidence.drift_listing(lake.drift.read(), lake.manifest.read().filter("batch_id = 'b5'")).count() == 2 and evidence.watermark_listing(lake.watermarks.read(), "penalties").count() == 1
+    shown = [report(spark, rows, schema) for rows, schema in ((run.loaded, LOADED), (run.failures, FAILED), (run.reconciled, RECONCILED), ([], PROCESSED))]
+    assert [f.count() for f in shown] == [3, 3, 6, 0] and [r["batch_id"] for r in shown[0].collect()] == ["b1", "b2", "b6"]
     again = run_bronze(lake, "two")  # what succeeded is not loaded again; what is broken fails again
     assert {r["batch_id"] for r in again.loaded} == {"b6"} and {r["batch_id"] for r in again.failures} == {"b3", "b4", "b5"}
     back = run_bronze(lake, "three", reprocess=True, source_path=good["landing_path"])

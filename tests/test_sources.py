@@ -89,6 +89,10 @@ def test_split_by_cutoff(spark, tmp_path):
     split_by_cutoff(df, str(tmp_path / "parts"), "d", "2024-06-01", 1)
     back = spark.read.option("header", True).csv(str(tmp_path / "parts"))
     assert {r["id"] for r in back.collect()} == {"1", "3", "4"}
+    many = spark.createDataFrame([(str(i), "2024-01-01", 'q"' * (i % 7)) for i in range(500)], "id string, d string, t string").coalesce(1)
+    split_by_cutoff(many, str(tmp_path / "many"), "d", "2024-06-01", 1000)
+    parts = list((tmp_path / "many").glob("*.csv"))
+    assert len(parts) > 10 and max(p.stat().st_size for p in parts) <= 1000 and spark.read.option("header", True).csv(str(tmp_path / "many")).count() == 500
 
 
 def test_paged_fetch(tmp_path):
