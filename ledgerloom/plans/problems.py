@@ -197,7 +197,7 @@ PATTERNS = {
 
 def p6_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every column of both tables, per load and against the load before it."""
-    parts = [table_profile(spark, f"{sf_dir}/{t}.parquet", "_batch_id", "processing_date", PATTERNS).select(F.lit(t).alias("source_table"), "*") for t in PROFILED]
+    parts = [table_profile(spark, f"{sf_dir}/{t}.parquet", "_batch_id", "processing_date", PATTERNS, typed=True).select(F.lit(t).alias("source_table"), "*") for t in PROFILED]
     return parts[0].unionByName(parts[1])
 
 

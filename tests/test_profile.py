@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 from collections import Counter
+from decimal import Decimal
 from statistics import median
 
 import pyarrow as pa
@@ -127,3 +128,38 @@ def test_profile_of_every_column(spark, tmp_path):
     empty.mkdir()
     pq.write_table(pa.table({c: pa.array([], k) for c, k in zip(names, kinds)}), empty / "0.parquet")
     assert table_profile(spark, str(empty), "load", "released", {}).count() == 0
+
+
+def test_profile_of_typed_columns_and_other_types(spark, tmp_path):
+    path = tmp_path / "t.parquet"
+    path.mkdir()
+    day, at = dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 250_000)
+    kinds = {
+        "load": pa.string(), "released": pa.string(), "k": pa.int64(), "x": pa.float64(), "flag": pa.bool_(), "price": pa.decimal128(20, 9), "day": pa.date32(), "at": pa.timestamp("us"),
+        "raw": pa.binary(), "tags": pa.list_(pa.int32()), "pair": pa.struct([("a", pa.string()), ("b", pa.int32())]),
+    }
+    rows = [
+        ("l1", "2024-01-01", 2**60 + i % 7, float("inf") if i == 3 else i % 4 / 4, i % 2 == 0, Decimal(i % 3) / 10**9, day + dt.timedelta(i % 5), at, bytes([i % 6]), [i % 2, None], {"a": None, "b": i % 3} if i else None) for i in range(40)
+    ]
+    rows += [("l2", "2024-02-01", 5, None, True, Decimal(0), day, at + dt.timedelta(seconds=i % 2), b"\xff", [i], {"a": "y", "b": 1}) for i in range(20)]
+    for n, part in enumerate((rows, rows[7:20] + rows[50:])):
+        pq.write_table(pa.table({c: pa.array(list(v), k) for (c, k), v in zip(kinds.items(), zip(*part))}), path / f"{n}.parquet", row_group_size=20)
+    every = rows + rows[7:20] + rows[50:]
+    got = {(r["column_name"], r["batch_id"]): r for r in table_profile(spark, str(path), "load", "released", {}, typed=True).collect()}
+    assert set(got) == {(c, b) for c in kinds if c != "load" for b in ("l1", "l2")}
+    share = {}
+    for j, c in enumerate(kinds):
+        for b in ("l1", "l2") if j else ():
+            full = Counter(repr(r[j]) for r in every if r[0] == b and r[j] is not None)
+            r, total = got[c, b], sum(1 for r in every if r[0] == b)
+            share[c, b] = {v: n / full.total() for v, n in full.items()}
+            assert (r["rows"], r["nulls"], r["distinct_values"]) == (total, total - full.total(), len(full)), (c, b)
+    for c in kinds:
+        if c not in ("load", "x"):
+            both, r = (share[c, "l1"], share[c, "l2"]), got[c, "l2"]
+            assert r["shift"] == pytest.approx(sum(abs(both[0].get(v, 0) - both[1].get(v, 0)) for v in {*both[0], *both[1]}) / 2), c
+            assert r["distinct_ratio"] == len(both[1]) / len(both[0]), c
+    ends = lambda c, b="l1": (got[c, b]["least"], got[c, b]["greatest"])
+    assert ends("k") == (str(2**60), str(2**60 + 6)) and ends("flag") == ("false", "true") and ends("x") == ("0.0", "Infinity") and got["x", "l1"]["greatest_number"] == float("inf")
+    assert ends("price") == ("0.000000000", "0.000000002") and ends("raw") == ("00", "05") and ends("at") == ("2024-01-01 00:00:00.25",) * 2
+    assert ends("tags") == ("[0,null]", "[1,null]") and ends("pair") == ('{"a":null,"b":0}', '{"a":null,"b":2}')
