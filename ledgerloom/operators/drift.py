@@ -30,6 +30,7 @@ from ledgerloom.session import bounded_broadcast, cut_lineage
 
 ADDED, MISSING, RENAMED, TYPE_FAILURE = "ADDED_COLUMN", "MISSING_COLUMN", "RENAMED_OR_UNMAPPED_COLUMN", "TYPE_VALUE_FAILURE"
 UNREADABLE, SURPLUS, SHORT, NO_HEADER, UNNAMED, UNLISTED = "UNREADABLE_RECORD", "SURPLUS_VALUES", "MISSING_VALUES", "NO_HEADER", "UNNAMED_FIELD", "NOT_IN_MANIFEST"
+UNPLACED = "NO_PLACE_IN_FILE"
 #: One field of a csv record followed by its comma; possessive, so that long fields need no backtracking.
 _CSV_FIELD = r'("[^"]*+(?:""[^"]*+)*+"|[^,]*+),'
 _NUMBER_LIKE = r"^[-+]?[0-9.][-+.0-9eE]*\z"
@@ -178,10 +179,11 @@ def read_typed(value: Column, kind: str | None) -> Column:
 
 @dataclass(frozen=True)
 class Landing:
-    """Landed records (path, row_no, record) with the counts of one scan over them."""
+    """Landed records (path, row_no, record) with the counts of one scan over them; ``every`` holds those of no file too."""
 
     rows: DataFrame
     scanned: DataFrame
+    every: DataFrame
 
 
 def _is_csv(path: str) -> bool:
@@ -242,14 +244,15 @@ def land(records: DataFrame, path: str, row_no: str, record: str) -> Landing:
     """Scan landed records: counts per file and field, in one pass without a shuffle of rows.
 
     ``records`` holds one record per row; csv files have their header in row 0, other files hold one JSON object per row.
-    Null paths and rows before a header belong to no file and are left out; null and unreadable records are counted as such.
+    Null paths and rows before a header belong to no file and are left out of the scan; ``every`` keeps them for
+    ``whole_table``. Null and unreadable records are counted as such.
     Other columns are ignored, whatever their names; an empty frame gives an empty scan.
     """
-    rows = records.select(F.col(path).alias("path"), F.col(row_no).alias("row_no"), F.col(record).alias("record")).filter("path IS NOT NULL")
-    rows = rows.filter(~F.lower("path").endswith(".csv") | F.coalesce(F.col("row_no") >= 0, F.lit(True)))
+    every = records.select(F.col(path).alias("path"), F.col(row_no).alias("row_no"), F.col(record).alias("record"))
+    rows = every.filter("path IS NOT NULL").filter(~F.lower("path").endswith(".csv") | F.coalesce(F.col("row_no") >= 0, F.lit(True)))
     counts = ["rows", "present", *(f"k{i}" for i in range(len(KINDS)))]
     parts = rows.mapInArrow(_scan_batches, _SCAN)
-    return Landing(rows, cut_lineage(parts.groupBy("path", "pos", "name").agg(*(F.sum(c).alias(c) for c in counts))))
+    return Landing(rows, cut_lineage(parts.groupBy("path", "pos", "name").agg(*(F.sum(c).alias(c) for c in counts))), every)
 
 
 def headers(landing: Landing) -> DataFrame:
@@ -310,10 +313,10 @@ def ordered_files(manifest: DataFrame, landing: Landing) -> DataFrame:
 # ---- renamings ------------------------------------------------------------------------------------------------------------
 
 
-def _planned(landing: Landing, plans: DataFrame) -> DataFrame:
-    """(path, row_no, record, plan): the rows of the files that have a plan, with the names of their header in it."""
+def _planned(landing: Landing, plans: DataFrame, every: bool = False) -> DataFrame:
+    """(path, row_no, record, plan): the rows of the files that have a plan, or ``every`` row, with the names of their header in it."""
     named = plans.join(headers(landing), "path", "left").select("path", F.to_json(F.struct("names", "todo")).alias("plan"))
-    return landing.rows.join(bounded_broadcast(named, 50_000), "path")
+    return (landing.every if every else landing.rows).join(bounded_broadcast(named, 50_000), "path", "left" if every else "inner")
 
 
 def _fields(path: str, record: str | None, names: list[str] | None) -> dict[str, str | None]:
@@ -468,19 +471,24 @@ def _free(name: str, taken: Mapping) -> str:
     return f"{name}_{k}"
 
 
-def _project(batches: Iterator[pa.RecordBatch], known: list[str]) -> Iterator[pa.RecordBatch]:
+def _project(batches: Iterator[pa.RecordBatch], known: Mapping[str, list[str]]) -> Iterator[pa.RecordBatch]:
     plans = functools.lru_cache(maxsize=10_000)(json.loads)
-    place = {n: i for i, n in enumerate(known)}
+    places = {d: {n: i for i, n in enumerate(names)} for d, names in known.items()}
     texts = pa.list_(pa.string())
     for batch in batches:
-        keep, values, extras, problems = [], [], [], []
+        keep, datasets, values, extras, problems = [], [], [], [], []
         for i, (path, row_no, record, text) in enumerate(zip(*(c.to_pylist() for c in batch.columns))):
-            is_csv = _is_csv(path)
+            is_csv = path is not None and _is_csv(path)
             if is_csv and row_no == 0:
                 continue
-            plan = plans(text)
-            names, canon, wrong = plan.get("names"), plan["todo"].get("canon") or {}, []
-            if is_csv:
+            plan = {} if text is None else plans(text)
+            todo = plan.get("todo", {})
+            place = places.get(todo.get("dataset"), {})
+            names, canon, wrong = plan.get("names"), todo.get("canon") or {}, [] if todo.get("listed", True) else [UNLISTED]
+            if path is None or (is_csv and (row_no is None or row_no < 0)):
+                wrong.append(UNPLACED)
+                cells = [("record", record)]  # the whole text, as it cannot be told what it holds
+            elif is_csv:
                 cells = [] if record is None else split_csv(record)
                 if record is not None and names is None:
                     wrong.append(NO_HEADER)
@@ -493,7 +501,7 @@ def _project(batches: Iterator[pa.RecordBatch], known: list[str]) -> Iterator[pa
                 record = record if found is not None else None
             if record is None:
                 wrong.append(UNREADABLE)
-            row: list[str | None] = [None] * len(known)
+            row: list[str | None] = [None] * len(place)
             extra: dict[str, str | None] = {}
             set_here: set[str] = set()
             for name, v in cells:
@@ -505,6 +513,7 @@ def _project(batches: Iterator[pa.RecordBatch], known: list[str]) -> Iterator[pa
                     target = name if target in place else target
                     extra[_free(target, extra) if target in extra or target in place else target] = v
             keep.append(i)
+            datasets.append(todo.get("dataset"))
             values.append(row)
             extras.append(list(extra.items()))
             problems.append(wrong)
@@ -514,7 +523,7 @@ def _project(batches: Iterator[pa.RecordBatch], known: list[str]) -> Iterator[pa
             arrays = [pa.array(values, texts), pa.array(extras, pa.map_(pa.string(), pa.string()))]
         except UnicodeEncodeError:
             arrays = [pa.array([[clean(v) for v in row] for row in values], texts), pa.array([[(clean(k), clean(v)) for k, v in e] for e in extras], pa.map_(pa.string(), pa.string()))]
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), *arrays, pa.array(problems, texts)], names=["path", "row_no", "texts", "extra", "problems"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(datasets, pa.string()), *arrays, pa.array(problems, texts)], names=["path", "row_no", "dataset", "texts", "extra", "problems"])
 
 
 def consistent_table(landing: Landing, files: DataFrame, canon: DataFrame, dataset: str, kinds: Mapping[str, str]) -> DataFrame:
@@ -525,12 +534,38 @@ def consistent_table(landing: Landing, files: DataFrame, canon: DataFrame, datas
     non-blank value could not be read (the typed column is then null), ``problems`` what is wrong with the record itself
     (see ``reading_problems``). Every data row of the files comes out once; files the manifest lacks belong to no dataset.
     """
-    todo = files.filter(F.col("dataset") == dataset).join(canon, "feed", "left").select("path", F.struct("canon").alias("todo"))
-    known = list(kinds)
+    todo = files.filter(F.col("dataset") == dataset).join(canon, "feed", "left").select("path", F.struct("dataset", "canon").alias("todo"))
+    return _typed_table(landing, _planned(landing, todo), {dataset: kinds}).drop("dataset")
+
+
+def whole_table(landing: Landing, files: DataFrame, canon: DataFrame, kinds: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """The files of all datasets as one table: dataset, path, row_no, the typed columns of all data models, ``extra``, ``failed_casts`` and ``problems``.
+
+    As ``consistent_table`` for each dataset; a column of several data models must be of one kind in them, and is null in
+    rows of datasets that lack it. Every landed row comes out once but the headers: rows of files the manifest lacks
+    (NOT_IN_MANIFEST) or of datasets without a model have all their fields in ``extra``, rows without a path or before a
+    header (NO_PLACE_IN_FILE) their text under ``record``.
+    """
+    seen = landing.scanned.select("path").distinct().join(files.select("path", "feed", "dataset", F.lit(True).alias("_listed")), "path", "left").join(canon, "feed", "left")
+    todo = seen.select("path", F.struct("dataset", "canon", F.coalesce("_listed", F.lit(False)).alias("listed")).alias("todo"))
+    return _typed_table(landing, _planned(landing, todo, every=True), kinds)
+
+
+def _typed_table(landing: Landing, planned: DataFrame, kinds: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    columns: dict[str, str] = {}
+    for d, of in kinds.items():
+        for n, k in of.items():
+            if columns.setdefault(n, k) != k:
+                raise ValueError(f"{n} of {d} is {k or 'text'}, elsewhere {columns[n] or 'text'}")
+    known = {d: list(of) for d, of in kinds.items()}
     row_type = landing.rows.schema["row_no"].dataType.simpleString()
     work: Callable = lambda it: _project(it, known)
-    split = _planned(landing, todo).mapInArrow(work, f"path string, row_no {row_type}, texts array<string>, extra map<string,string>, problems array<string>")
-    named = split.select("path", "row_no", *(blank_to_null(F.get("texts", F.lit(i))).alias(n) for i, n in enumerate(known)), "extra", "problems")
-    failed = F.array_compact(F.array(*(F.when(F.col(n).isNotNull() & ~reads_as(F.col(n), k), F.lit(n)) for n, k in kinds.items() if k)))
+    split = planned.mapInArrow(work, f"path string, row_no {row_type}, dataset string, texts array<string>, extra map<string,string>, problems array<string>")
+
+    def text(name: str) -> Column:
+        return F.coalesce(*(F.when(F.col("dataset") == d, F.get("texts", F.lit(names.index(name)))) for d, names in known.items() if name in names))
+
+    named = split.select("dataset", "path", "row_no", *(blank_to_null(text(n)).alias(n) for n in columns), "extra", "problems")
+    failed = F.array_compact(F.array(*(F.when(F.col(n).isNotNull() & ~reads_as(F.col(n), k), F.lit(n)) for n, k in columns.items() if k)))
     judged = named.withColumn("failed_casts", failed)
-    return judged.select("path", "row_no", *(read_typed(F.col(n), k or None).alias(n) for n, k in kinds.items()), "extra", "failed_casts", "problems")
+    return judged.select("dataset", "path", "row_no", *(read_typed(F.col(n), k or None).alias(n) for n, k in columns.items()), "extra", "failed_casts", "problems")

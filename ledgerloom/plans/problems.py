@@ -9,7 +9,7 @@ from ledgerloom.functions.values import alnum_key, date_text, flexible_date, iso
 from ledgerloom.operators.as_known import as_known
 from ledgerloom.operators.deliveries import full_delivery_batches, newest_non_blank, snapshot_batches
 from ledgerloom.functions.rules import judge
-from ledgerloom.operators.drift import Landing, consistent_table, drift_report, land, ordered_files, reading_problems
+from ledgerloom.operators.drift import Landing, drift_report, land, ordered_files, reading_problems, whole_table
 from ledgerloom.operators.history import version_history
 from ledgerloom.operators.profile import HISTOGRAM, VALIDITY, grouped_median, load_histogram, share, table_profile
 from ledgerloom.operators.record_parser import parse_records
@@ -210,6 +210,8 @@ def landing(spark: SparkSession, sf_dir: str) -> tuple[Landing, DataFrame]:
 
 
 KINDS = {d: silver_kinds(s) for d, s in DATASETS.items()}
+#: Fixed value: the datasets whose files land as records; those of any other keep their fields in ``extra``.
+LANDED = ("penalties", "health_deficiencies", "mds_quality")
 IDENTITY = {d: s.key for d, s in REGISTRY.items()}
 
 
@@ -219,10 +221,10 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_penalties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The files of one dataset as one consistent, typed table."""
+    """All landed files as one consistent, typed table; the name is from when it held the penalties alone."""
     landed, files = landing(spark, sf_dir)
     _, canon = drift_report(landed, files, KINDS, IDENTITY)
-    return consistent_table(landed, files, canon, "penalties", KINDS["penalties"])
+    return whole_table(landed, files, canon, {d: KINDS[d] for d in LANDED})
 
 
 def p7_problems(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.headers import assess_header, assess_keys, match_key, new_name, qualified_name, strict_mapping
 from ledgerloom.operators import drift
-from ledgerloom.operators.drift import canonical_names, consistent_table, csv_fields, drift_report, land, ordered_files, path_statistics, reading_problems
+from ledgerloom.operators.drift import canonical_names, consistent_table, csv_fields, drift_report, land, ordered_files, path_statistics, reading_problems, whole_table
+from ledgerloom.plans import problems
 import pytest
 
 KINDS = {"penalties": {"ccn": "", "amount": "decimal(14,2)", "day": "date", "flag": "boolean", "n": "int"}}
@@ -177,3 +178,36 @@ def test_headers():
         strict_mapping(["A"], ["a", "b"])
     with pytest.raises(ValueError):
         qualified_name("ok", "not ok")
+
+
+def test_whole_table_holds_the_rows_of_all_datasets(spark):
+    kinds = {"penalties": {"ccn": "", "day": "date", "n": "int"}, "reports": {"code": "", "ccn": "", "share": "double"}}
+    days = {f"{d}/f/2024-0{m}-01/x.{e}": (d, m) for d, e in (("penalties", "csv"), ("reports", "json"), ("others", "csv")) for m in (1, 2)}
+    (a, b, c, d, e, _), lost = days, "nowhere/x.csv"
+    rows = [(a, 0, "ccn,day,n"), *((a, i, f"{i},2024-01-0{i},{i}") for i in (1, 2, 3)), (b, 0, "CCN,Due Day,n,code"), *((b, i, f"{i},2024-01-0{i},x{i},q") for i in (1, 2, 3)), (b, None, "3,4"), (b, -1, None)]
+    rows += [(c, 0, '{"code":"A","ccn":"7","share":0.5}'), (d, 0, '{"code":"B","ccn":"8","share":"half","n":"4"}'), (d, 1, "[]"), (e, 0, "ccn,n"), (e, 1, "1,2"), (lost, 0, "ccn,n"), (lost, 1, "9,9"), (None, 4, "text"), (None, 0, None)]
+    landed = land(spark.createDataFrame(rows, "p string, n int, r string"), "p", "n", "r")
+    manifest = spark.createDataFrame([(p, dt.date(2024, m, 1), k, dt.datetime(2024, 1, 1)) for p, (k, m) in days.items()], "landing_path string, as_of_date date, dataset string, load_timestamp timestamp")
+    files = ordered_files(manifest, landed)
+    _, canon = drift_report(landed, files, kinds, {"penalties": ("ccn",)})
+    table = whole_table(landed, files, canon, kinds)
+    assert table.columns == ["dataset", "path", "row_no", "ccn", "day", "n", "code", "share", "extra", "failed_casts", "problems"]
+    day = lambda i: dt.date(2024, 1, i)
+    want = [("penalties", a, i, str(i), day(i), i, None, None, {}, [], []) for i in (1, 2, 3)]
+    want += [("penalties", b, i, str(i), day(i), None, None, None, {"code": "q"}, ["n"], []) for i in (1, 2, 3)]
+    want += [("penalties", b, None, None, None, None, None, None, {"record": "3,4"}, [], ["NO_PLACE_IN_FILE"]), ("penalties", b, -1, None, None, None, None, None, {"record": None}, [], ["NO_PLACE_IN_FILE", "UNREADABLE_RECORD"])]
+    want += [("reports", c, 0, "7", None, None, "A", 0.5, {}, [], []), ("reports", d, 0, "8", None, None, "B", None, {"n": "4"}, ["share"], []), ("reports", d, 1, None, None, None, None, None, {}, [], ["UNREADABLE_RECORD"])]
+    want += [("others", e, 1, None, None, None, None, None, {"ccn": "1", "n": "2"}, [], []), (None, lost, 1, None, None, None, None, None, {"ccn": "9", "n": "9"}, [], ["NOT_IN_MANIFEST"])]
+    want += [(None, None, 4, None, None, None, None, None, {"record": "text"}, [], ["NO_PLACE_IN_FILE"]), (None, None, 0, None, None, None, None, None, {"record": None}, [], ["NO_PLACE_IN_FILE", "UNREADABLE_RECORD"])]
+    plain = lambda rows: sorted(repr([sorted(v.items()) if isinstance(v, dict) else v for v in r]) for r in rows)
+    assert plain(table.collect()) == plain(want)
+    with pytest.raises(ValueError, match="n of reports"):
+        whole_table(landed, files, canon, kinds | {"reports": {"n": ""}})
+
+
+def test_p7_penalties_returns_every_landed_row_but_the_headers(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    landed = spark.read.parquet("/root/testdata/sf0.001/landing_records.parquet")
+    want = landed.filter(~(F.col("landing_path").endswith(".csv") & (F.col("row_no") == 0))).groupBy("landing_path").count()
+    got = problems.p7_penalties(spark, "/root/testdata/sf0.001").groupBy("path").count()
+    assert dict(map(tuple, got.collect())) == dict(map(tuple, want.collect()))
